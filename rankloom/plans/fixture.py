@@ -69,3 +69,28 @@ class Fixture:
     @cached_property
     def pool(self) -> DataFrame:
         return REC.candidate_pool(self.items, self.popularity)
+
+
+    @cached_property
+    def reviews(self) -> DataFrame:
+        return self.view("reviews")
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        from rankloom.operators.clean import clean_reviews
+        return clean_reviews(self.reviews)
+
+    @cached_property
+    def user_index(self) -> DataFrame:
+        from rankloom.operators.index import build_index
+        return build_index(self.clean, "reviewerID", "userIndex")
+
+    @cached_property
+    def item_index(self) -> DataFrame:
+        from rankloom.operators.index import build_index
+        return build_index(self.clean, "asin", "itemIndex")
+
+    @cached_property
+    def docs(self) -> DataFrame:
+        from rankloom.operators.docs import item_documents
+        return item_documents(self.clean)

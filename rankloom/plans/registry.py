@@ -6,22 +6,330 @@ grows with the scale factor.  Doubles are rounded to 6 digits for the oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rankloom.functions.vectors import cosine, dot, l2_norm
+from rankloom.operators import clean as CL
+from rankloom.operators import docs as D
+from rankloom.operators import features as FE
+from rankloom.operators import ratings as R
 from rankloom.operators import recommend as REC
+from rankloom.operators import report as RP
+from rankloom.operators import sampling as S
 from rankloom.plans.fixture import DIGITS, Fixture, rounded
+from rankloom.session import scratch_path
+from rankloom.sources import read_reviews, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+SAMPLE_USERS = 1000      # sampling operator size used by the sampling checks
+
 
 def query(fn):
     QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Fixture(spark, sf_dir))
     return fn
 
 
+# ------------------------------------------------------------ preprocessing
+
+@query
+def clean_reviews(fx):
+    return CL.clean_reviews(fx.reviews)
+
+
+@query
+def review_rejects(fx):
+    return CL.reject_counts(fx.reviews)
+
+
+@query
+def reviews_json_scan(fx):
+    """Reviews written as JSON lines (plus malformed lines), scanned with the fixed
+    schema and cleaned: equal to ``clean_reviews``."""
+    base = scratch_path(fx.spark, f"reviews-json-{uuid.uuid4().hex}")
+    fx.reviews.write.mode("overwrite").json(f"{base}/good")
+    bad = fx.spark.createDataFrame(
+        [('{"overall": "five", "reviewerID": "U1", "asin": "I1"}',), ("{not json",),
+         ('{"overall": 4.0, "reviewerID": null, "asin": "I2"}',)], "value string")
+    bad.coalesce(1).write.mode("overwrite").text(f"{base}/bad")
+    raw = read_reviews(fx.spark, [f"{base}/good", f"{base}/bad"])
+    return CL.clean_reviews(raw).select(*fx.clean.columns)
+
+
+@query
+def user_index(fx):
+    return fx.user_index
+
+
+@query
+def item_index(fx):
+    return fx.item_index
+
+
+@query
+def ratings(fx):
+    return R.build_ratings(fx.clean, fx.user_index, fx.item_index)
+
+
+@query
+def item_documents(fx):
+    return rounded(fx.docs)
+
+
+@query
+def item_tokens(fx):
+    toks = D.item_tokens(fx.docs)
+    return toks.select("asin", F.size("rawTokens").cast("long").alias("tokenCount"),
+                       F.array_join("rawTokens", " ").alias("tokensText"))
+
+
+@query
+def item_tokens_nostop(fx):
+    docs = (fx.docs.filter(F.col("reviewCount") >= 5)
+            .filter(F.length("combinedText") > 50))
+    toks = D.stop_words_remover("rawTokens", "tokens").transform(D.item_tokens(docs))
+    toks = toks.filter(F.size("tokens") > 3)
+    return toks.select("asin", F.size("tokens").cast("long").alias("tokenCount"),
+                       F.array_join("tokens", " ").alias("tokensText"))
+
+
+@query
+def user_activity(fx):
+    return fx.activity
+
+
+@query
+def item_popularity(fx):
+    return fx.popularity
+
+
+@query
+def active_ratings(fx):
+    return R.active_ratings(fx.ratings)
+
+
+@query
+def dataset_counts(fx):
+    return RP.dataset_counts(fx.ratings, fx.activity)
+
+
+@query
+def parquet_roundtrip(fx):
+    path = scratch_path(fx.spark, f"ratings-{uuid.uuid4().hex}")
+    write_table(fx.ratings, path, files=4, sort_by=["userId", "itemId"])
+    return read_table(fx.spark, path)
+
+
+# ------------------------------------------------------------ vectors
+
+@query
+def embedding_norm(fx):
+    return rounded(fx.items.select("itemId", l2_norm("embedding").alias("norm")))
+
+
+def _rated_with_profile(fx):
+    rated = (fx.ratings.select("userId", "itemId").join(fx.cold_users, "userId", "left_semi")
+             .join(fx.items.select("itemId", "embedding"), "itemId"))
+    return rated.join(fx.profiles, "userId")
+
+
+@query
+def embedding_cosine(fx):
+    p = _rated_with_profile(fx)
+    return rounded(p.select("userId", "itemId", cosine("profile", "embedding").alias("cosine")))
+
+
+@query
+def embedding_dot(fx):
+    p = _rated_with_profile(fx)
+    return rounded(p.select("userId", "itemId", dot("profile", "embedding").alias("dot")))
+
+
+@query
+def user_profiles(fx):
+    return rounded(fx.profiles.select("userId", F.posexplode("profile").alias("pos", "value"))
+                   .withColumn("pos", F.col("pos").cast("long")))
+
+
+# ------------------------------------------------------------ ranker inputs
+
+def _features(fx):
+    return FE.candidate_features(FE.candidate_minmax(fx.view("candidates")), fx.items,
+                                 fx.activity, fx.popularity)
+
+
+def _labeled(fx):
+    return FE.label_candidates(_features(fx), fx.ratings, fx.warm_users)
+
+
+@query
+def candidate_minmax(fx):
+    return rounded(FE.candidate_minmax(fx.view("candidates")))
+
+
+@query
+def candidate_features(fx):
+    return rounded(_features(fx))
+
+
+@query
+def label_candidates(fx):
+    return rounded(_labeled(fx))
+
+
+@query
+def positive_rate(fx):
+    return rounded(FE.label_counts(_labeled(fx)))
+
+
+@query
+def balanced_training_set(fx):
+    return rounded(FE.balanced_training_set(_labeled(fx)))
+
+
 @query
-def recommend_cold(fx: Fixture) -> DataFrame:
+def accuracy_report(fx):
+    pred = _labeled(fx).withColumn(
+        "prediction", F.when(F.col("alsScore") >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
+    return rounded(RP.accuracy_report(pred))
+
+
+@query
+def rmse_report(fx):
+    return rounded(RP.rmse_report(fx.view("predictions")))
+
+
+# ------------------------------------------------------------ sampling and segments
+
+@query
+def sample_users(fx):
+    return S.sample_keys(fx.ratings, "userId", SAMPLE_USERS)
+
+
+@query
+def segment_users(fx):
+    return fx.segments
+
+
+@query
+def train_test_split(fx):
+    train, test = S.split_by_hash(R.active_ratings(fx.ratings), "userId")
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumn("split", F.lit("test"))))
+
+
+# ------------------------------------------------------------ recommendation paths
+
+@query
+def recommend_cold(fx):
     return rounded(REC.recommend_cold(fx.profiles, fx.pool, fx.ratings, digits=DIGITS))
+
+
+@query
+def candidate_pool(fx):
+    return rounded(fx.pool.drop("embedding"))
+
+
+def _no_profile(fx):
+    return REC.users_without_profile(fx.cold_users, fx.profiles)
+
+
+def _fallback(fx):
+    top = REC.popularity_top(fx.popularity, fx.items, digits=DIGITS)
+    return REC.recommend_fallback(_no_profile(fx), top)
+
+
+@query
+def users_without_profile(fx):
+    return _no_profile(fx)
+
+
+@query
+def recommend_fallback(fx):
+    return rounded(_fallback(fx))
+
+
+@query
+def recommend_ties(fx):
+    scored = fx.ratings.select("userId", "itemId", F.col("rating").cast("double").alias("score"))
+    return REC.rank_within_user(scored, score="score", ties=True)
+
+
+def _warm_standin(fx):
+    mm = FE.candidate_minmax(fx.view("candidates"))
+    c = fx.view("candidates").join(mm, ["userId", "itemId"])
+    scored = c.select("userId", "itemId", F.col("alsRawScore").alias("hybridScore"), "alsScore",
+                      F.lit(0.0).alias("w2vScore"), F.lit(REC.SOURCE_WARM).alias("source"))
+    return REC.rank_within_user(scored)
+
+
+@query
+def combine_paths(fx):
+    cold = REC.recommend_cold(fx.profiles, fx.pool, fx.ratings, digits=DIGITS)
+    return rounded(REC.combine(_warm_standin(fx), cold, _fallback(fx)))
+
+
+# ------------------------------------------------------------ reports
+
+@query
+def source_breakdown(fx):
+    return RP.source_breakdown(fx.view("recs"))
+
+
+@query
+def coverage_report(fx):
+    sampled = S.sample_keys(fx.ratings, "userId", SAMPLE_USERS)
+    recs = fx.view("recs").join(sampled, "userId", "left_semi")
+    return rounded(RP.coverage_report(recs, sampled, fx.ratings))
+
+
+@query
+def personalization(fx):
+    return rounded(RP.personalization(fx.view("recs")))
+
+
+@query
+def rec_preview(fx):
+    return rounded(RP.rec_preview(fx.view("recs")))
+
+
+@query
+def dataset_stats(fx):
+    return rounded(RP.dataset_stats(fx.ratings, fx.activity, fx.view("recs")))
+
+
+@query
+def segment_share(fx):
+    return rounded(RP.segment_share(fx.activity))
+
+
+@query
+def enrich_recs(fx):
+    return rounded(RP.enrich_recs(fx.view("recs"), fx.item_index, fx.docs))
+
+
+@query
+def enrich_recs_no_meta(fx):
+    return rounded(RP.enrich_recs(fx.view("recs"), fx.item_index, None))
+
+
+@query
+def lookup_recs(fx):
+    """Requests: every customer id as a user id, n = custkey % 12 (0 and 11 get clamped)."""
+    req = fx.view("customer").select(F.col("c_custkey").cast("int").alias("userId"),
+                                     (F.col("c_custkey") % 12).cast("int").alias("n"))
+    out = RP.lookup_recs(req, fx.view("recs"), fx.activity, fx.item_index, fx.docs)
+    # integer columns that are null for not-found rows are compared as doubles
+    return rounded(out.select(*[F.col(c).cast("double").alias(c)
+                                if c in ("ratingCount", "rank", "itemId", "reviewCount") else c
+                                for c in out.columns]))
+
+
+@query
+def sample_users_by_segment(fx):
+    return RP.sample_users_by_segment(fx.view("recs"), fx.activity)

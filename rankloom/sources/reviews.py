@@ -22,7 +22,7 @@ REVIEW_SCHEMA = T.StructType([
 ])
 
 
-def read_reviews(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+def read_reviews(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
     """Read JSON lines (plain or gzip) with the fixed schema.
 
     Malformed lines become all-null rows and wrong-typed fields become null
