@@ -109,13 +109,6 @@ def split_tokens(text, keep_trailing: bool = False) -> Column:
             .otherwise(F.split(trimmed, r"\s", -1)))
 
 
-def drop_stop_words(tokens) -> Column:
-    """Remove English stop words (case-insensitive); empty tokens stay."""
-    stop = F.array(*[F.lit(w) for w in ENGLISH_STOP_WORDS])
-    col = F.col(tokens) if isinstance(tokens, str) else tokens
-    return F.filter(col, lambda t: ~F.array_contains(stop, F.lower(t)))
-
-
 def item_tokens(docs: DataFrame, text_col: str = "combinedText") -> DataFrame:
     """docs + ``rawTokens`` via Spark ML's Tokenizer."""
     return tokenizer(text_col, "rawTokens").transform(docs)

@@ -241,3 +241,24 @@ def combine(*paths: DataFrame) -> DataFrame:
         p = p.select(*REC_COLUMNS)
         out = p if out is None else out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------- warm path
+
+def recommend_warm(als_model, ranker, warm_users: DataFrame, items: DataFrame | None,
+                   activity: DataFrame, popularity: DataFrame, n_candidates: int = 50,
+                   k: int = TOP_K, ties: bool = False) -> DataFrame:
+    """ALS top-``n_candidates`` per warm user, re-scored by the ranker (source ``als_gbt``).
+
+    Each user's list is bounded by ``n_candidates``, so the per-user min-max
+    window and the final rank window stay small per key.
+    """
+    from rankloom.operators import als as A
+    from rankloom.operators import features as FE
+    from rankloom.operators import ranker as RK
+
+    cands = A.candidates_for(als_model, warm_users, n_candidates)
+    feats = FE.candidate_features(FE.candidate_minmax(cands), items, activity, popularity)
+    scored = RK.score(ranker, feats).select(
+        "userId", "itemId", "hybridScore", "alsScore", "w2vScore", F.lit(SOURCE_WARM).alias("source"))
+    return rank_within_user(scored, k=k, ties=ties)

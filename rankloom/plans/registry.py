@@ -333,3 +333,105 @@ def lookup_recs(fx):
 @query
 def sample_users_by_segment(fx):
     return RP.sample_users_by_segment(fx.view("recs"), fx.activity)
+
+
+# ------------------------------------------------------------ fitted models (rows checks)
+
+def _fitted(fx):
+    from rankloom.plans.models import fitted
+    return fitted(fx)
+
+
+@query
+def als_predictions(fx):
+    from rankloom.operators import als as A
+    m = _fitted(fx)
+    return A.predict(m.als, m.als_test)
+
+
+@query
+def als_user_topk(fx):
+    from rankloom.operators import als as A
+    return A.user_topk(_fitted(fx).als)
+
+
+@query
+def als_item_topk(fx):
+    from rankloom.operators import als as A
+    return A.item_topk(_fitted(fx).als)
+
+
+@query
+def als_candidates(fx):
+    from rankloom.operators import als as A
+    m = _fitted(fx)
+    return A.candidates_for(m.als, m.ranker_users, 50)
+
+
+@query
+def als_item_factors(fx):
+    from rankloom.operators import als as A
+    return A.item_factors(_fitted(fx).als)
+
+
+@query
+def w2v_item_embeddings(fx):
+    return _fitted(fx).items
+
+
+@query
+def w2v_synonyms(fx):
+    from rankloom.operators import embed as EM
+    return EM.synonyms(_fitted(fx).w2v)
+
+
+@query
+def fit_or_load(fx):
+    """A saved Word2Vec model is loaded, not refit: its vectors as (word, vector)."""
+    from pyspark.ml.functions import vector_to_array
+    from rankloom.operators import embed as EM
+    m = _fitted(fx)
+    path = scratch_path(fx.spark, f"w2v-reuse-{uuid.uuid4().hex}")
+    m.w2v.write().overwrite().save(path)
+    loaded = EM.word2vec_fit_or_load(path, m.parts, mode="reuse")
+    return loaded.getVectors().select("word", vector_to_array("vector").alias("vector"))
+
+
+@query
+def gbt_report(fx):
+    from rankloom.operators import ranker as RK
+    m = _fitted(fx)
+    return RK.evaluate(m.ranker, m.training.filter(F.col("split") == "test"))
+
+
+@query
+def gbt_importances(fx):
+    from rankloom.operators import ranker as RK
+    return RK.importances(_fitted(fx).ranker)
+
+
+def _generated(fx):
+    from rankloom.plans.recommend import generate
+    m = _fitted(fx)
+    return generate(m.ratings, m.items, m.als, m.ranker)
+
+
+@query
+def recommend_warm(fx):
+    return _generated(fx)["warm"]
+
+
+@query
+def recommend_all(fx):
+    return _generated(fx)["recs"]
+
+
+@query
+def model_report(fx):
+    """RMSE (with its quality band) and ranker metrics, computed from the models."""
+    from rankloom.operators import als as A
+    from rankloom.operators import ranker as RK
+    m = _fitted(fx)
+    rmse = RP.rmse_report(A.predict(m.als, m.als_test)).withColumnRenamed("n", "nRated")
+    gbt = RK.evaluate(m.ranker, m.training.filter(F.col("split") == "test"))
+    return RP._fold(rmse, gbt)
