@@ -27,13 +27,16 @@ def _json_value(v):
     return v
 
 
-def bounded_array(df: DataFrame, max_rows: int, what: str = "table") -> Column:
-    """``df`` (at most ``max_rows`` rows, else ValueError) as an array<struct> literal."""
+def bounded_array(df: DataFrame, max_rows: int, what: str = "table",
+                  key: str | None = None) -> tuple[Column, list]:
+    """``df`` (at most ``max_rows`` rows, else ValueError) as an array<struct> literal,
+    plus the values of column ``key`` (empty list without a key) from the same fetch."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"{what} has more than {max_rows} rows; refusing to attach it")
     payload = json.dumps([{k: _json_value(v) for k, v in r.asDict().items()} for r in rows])
-    return F.from_json(F.lit(payload), ArrayType(df.schema))
+    keys = [r[key] for r in rows] if key else []
+    return F.from_json(F.lit(payload), ArrayType(df.schema)), keys
 
 
 def bounded_ids(df: DataFrame, col: str, max_rows: int, what: str = "table") -> list:

@@ -38,9 +38,10 @@ def segment_users(ratings: DataFrame, sample_size: int | None = None, seed: int
 
     ``segment`` is ``warm`` for >= ``warm_min`` ratings, else ``cold``.
     """
-    users = sample_keys(ratings, "userId", sample_size, seed)
     act = activity if activity is not None else user_activity(ratings)
-    return (users.join(act, "userId")
+    if sample_size is not None:
+        act = act.join(sample_keys(act, "userId", sample_size, seed), "userId")
+    return (act
             .withColumn("segment", F.when(F.col("userRatingCount") >= warm_min, F.lit("warm"))
                         .otherwise(F.lit("cold"))))
 
@@ -69,24 +70,33 @@ def item_vectors(item_emb: DataFrame, item_meta: DataFrame | None = None) -> Dat
 
 # ---------------------------------------------------------------- profiles
 
-def user_profiles(ratings: DataFrame, users: DataFrame, item_emb: DataFrame) -> DataFrame:
+def user_profiles(ratings: DataFrame, users: DataFrame, item_emb: DataFrame,
+                  track_items: list | None = None) -> DataFrame:
     """(userId, profile): the rating-weighted mean of the vectors of rated items.
 
     Only rated items that have a vector count; users with none get no row.  When a
     user's weights sum to <= 0 the weighted sum is returned undivided.  The sum is
     one partial+final aggregation (``Summarizer``) on a fixed-size buffer per user,
     so a user with very many ratings is combined across tasks, never gathered.
+
+    ``track_items`` (a bounded id list, e.g. a candidate pool) adds ``seen``: the
+    tracked items the user rated, collected in the same aggregation (at most
+    ``len(track_items)`` per user).
     """
     rated = (ratings.select("userId", "itemId", F.col("rating").cast("double").alias("w"))
              .join(users.select("userId"), "userId", "left_semi")
              .join(item_emb.select("itemId", "embedding").filter(F.col("embedding").isNotNull()),
                    "itemId"))
     weighted = array_to_vector(F.transform("embedding", lambda x: x * F.col("w")))
-    agg = rated.groupBy("userId").agg(Summarizer.sum(weighted).alias("_s"),
-                                      F.sum("w").alias("_w"))
+    aggs = [Summarizer.sum(weighted).alias("_s"), F.sum("w").alias("_w")]
+    if track_items is not None:
+        aggs.append(F.collect_set(F.when(F.col("itemId").isin(list(track_items)), F.col("itemId")))
+                    .alias("seen"))
+    agg = rated.groupBy("userId").agg(*aggs)
     s = vector_to_array(F.col("_s"), "float64")
     profile = F.when(F.col("_w") > 0, F.transform(s, lambda x: x / F.col("_w"))).otherwise(s)
-    return agg.select("userId", profile.alias("profile"))
+    extra = ["seen"] if track_items is not None else []
+    return agg.select("userId", profile.alias("profile"), *extra)
 
 
 # ---------------------------------------------------------------- candidate pool
@@ -151,8 +161,10 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
     """Top-``k`` pool items per profile user by the taste blend (source ``w2v_personalized``).
 
     score = cosine(profile, item)·0.60 + avgRating/5·0.25 + logPop/10·0.15.  Items the
-    user already rated are excluded first (``exclude_seen``).  ``digits`` rounds the
-    score before ranking so that engines with different float summation agree.
+    user already rated are excluded first (``exclude_seen``): from the profiles'
+    ``seen`` column when present (see ``user_profiles(track_items=...)``), else from
+    ``ratings``.  ``digits`` rounds the score before ranking so that engines with
+    different float summation agree.
 
     The pool (≤ ``max_pool`` rows, checked) is attached to every profile row as one
     array; scoring, exclusion and top-k are array functions on that row, so the
@@ -162,17 +174,22 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
         "itemId", F.col("embedding").alias("emb"), l2_norm("embedding").alias("norm"),
         ((F.col("itemAvgRating") / F.lit(5.0)) * 0.25).alias("rate_part"),
         ((F.col("logItemPop") / F.lit(10.0)) * 0.15).alias("pop_part"))
-    pool_arr = bounded_array(pool_rows, max_pool, "candidate pool")
-    users = profiles.select("userId", "profile", l2_norm("profile").alias("_pn"))
-    if exclude_seen and ratings is not None:
-        pool_ids = bounded_ids(pool, "itemId", max_pool, "candidate pool")
-        seen = (ratings.select("userId", "itemId").filter(F.col("itemId").isin(pool_ids))
+    pool_arr, ids = bounded_array(pool_rows, max_pool, "candidate pool", key="itemId")
+    users = profiles.select("userId", "profile", l2_norm("profile").alias("_pn"),
+                            *(["seen"] if "seen" in profiles.columns else []))
+    if not exclude_seen:
+        seen_col = F.lit(None).cast("array<int>")
+    elif "seen" in profiles.columns:
+        seen_col = F.col("seen")
+    elif ratings is not None:
+        seen = (ratings.select("userId", "itemId").filter(F.col("itemId").isin(ids))
                 .join(profiles.select("userId"), "userId", "left_semi")
                 .groupBy("userId").agg(F.collect_set("itemId").alias("_seen")))
         users = users.join(seen, "userId", "left")
+        seen_col = F.col("_seen")
     else:
-        users = users.withColumn("_seen", F.lit(None).cast("array<int>"))
-    seen_arr = F.coalesce(F.col("_seen"), F.array().cast("array<int>"))
+        seen_col = F.lit(None).cast("array<int>")
+    seen_arr = F.coalesce(seen_col, F.array().cast("array<int>"))
 
     def entry(p: Column) -> Column:
         sim = F.when((F.col("_pn") == 0.0) | (p["norm"] == 0.0), F.lit(0.0)).otherwise(
@@ -192,6 +209,11 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
                     F.col("t.rank").cast("int").alias("rank")))
 
 
+def pool_ids(pool: DataFrame, max_pool: int = POOL_SIZE) -> list:
+    """The item ids of a candidate pool (bounded, checked)."""
+    return bounded_ids(pool, "itemId", max_pool, "candidate pool")
+
+
 # ---------------------------------------------------------------- fallback path
 
 def users_without_profile(users: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -220,8 +242,8 @@ def popularity_top(popularity: DataFrame, items: DataFrame | None, k: int = TOP_
 def recommend_fallback(users: DataFrame, top: DataFrame, k: int = TOP_K,
                        ties: bool = False) -> DataFrame:
     """Every user gets the same global list ``top`` (source ``popularity_fallback``)."""
-    arr = bounded_array(top.select(F.col("hybridScore").alias("score"), "itemId",
-                                   F.col("w2vScore").alias("w2v")), k, "popularity top list")
+    arr, _ = bounded_array(top.select(F.col("hybridScore").alias("score"), "itemId",
+                                      F.col("w2vScore").alias("w2v")), k, "popularity top list")
     entries = F.transform(arr, lambda e: F.struct((-e["score"]).alias("neg"), e["itemId"].alias("itemId"),
                                                   e["score"].alias("score"), e["w2v"].alias("w2v")))
     ranked = _top_k_array(entries, k, ties)

@@ -66,6 +66,12 @@ class Fixture:
     def profiles(self) -> DataFrame:
         return REC.user_profiles(self.ratings, self.cold_users, self.items)
 
+    @cached_property
+    def profiles_seen(self) -> DataFrame:
+        """Profiles with the pool items each user rated (one aggregation)."""
+        return REC.user_profiles(self.ratings, self.cold_users, self.items,
+                                 track_items=REC.pool_ids(self.pool))
+
     @cached_property
     def pool(self) -> DataFrame:
         return REC.candidate_pool(self.items, self.popularity)

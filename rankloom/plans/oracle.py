@@ -309,8 +309,12 @@ LEFT JOIN (SELECT userId, source AS userSource FROM
             (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY rank, itemId) AS pos FROM enr) z
            WHERE pos = 1) f ON f.userId = q.userId
 LEFT JOIN act a ON a.userId = q.userId"""),
+    "path_coverage": sql("""SELECT 'w2v_personalized' AS source,
+       (SELECT count(DISTINCT userId) FROM recs WHERE source = 'w2v_personalized') AS usersServed,
+       (SELECT count(DISTINCT userId) FROM cold) AS usersTargeted"""),
     "sample_users_by_segment": sql(f"""SELECT segment, userId, userRatingCount FROM (
   SELECT *, row_number() OVER (PARTITION BY segment ORDER BY {md5key('userId')}, userId) AS rn FROM (
     SELECT DISTINCT r.userId, a.userRatingCount, {SEGMENT.format('a.userRatingCount')} AS segment
     FROM recs r JOIN act a USING (userId)) u) t WHERE rn <= 5"""),
 }
+ORACLE["lookup_stream"] = ORACLE["lookup_recs"]

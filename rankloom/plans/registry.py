@@ -227,7 +227,7 @@ def train_test_split(fx):
 
 @query
 def recommend_cold(fx):
-    return rounded(REC.recommend_cold(fx.profiles, fx.pool, fx.ratings, digits=DIGITS))
+    return rounded(REC.recommend_cold(fx.profiles_seen, fx.pool, digits=DIGITS))
 
 
 @query
@@ -270,7 +270,7 @@ def _warm_standin(fx):
 
 @query
 def combine_paths(fx):
-    cold = REC.recommend_cold(fx.profiles, fx.pool, fx.ratings, digits=DIGITS)
+    cold = REC.recommend_cold(fx.profiles_seen, fx.pool, digits=DIGITS)
     return rounded(REC.combine(_warm_standin(fx), cold, _fallback(fx)))
 
 
@@ -435,3 +435,27 @@ def model_report(fx):
     rmse = RP.rmse_report(A.predict(m.als, m.als_test)).withColumnRenamed("n", "nRated")
     gbt = RK.evaluate(m.ranker, m.training.filter(F.col("split") == "test"))
     return RP._fold(rmse, gbt)
+
+
+# ------------------------------------------------------------ streaming
+
+@query
+def lookup_stream(fx):
+    """The ``lookup_recs`` requests written as files and answered by a stream."""
+    from rankloom.streaming import run_lookup_stream
+    base = scratch_path(fx.spark, f"lookup-stream-{uuid.uuid4().hex}")
+    req = fx.view("customer").select(F.col("c_custkey").cast("int").alias("userId"),
+                                     (F.col("c_custkey") % 12).cast("int").alias("n"))
+    req.repartition(4).write.parquet(f"{base}/requests")
+    out = run_lookup_stream(fx.spark, f"{base}/requests", fx.view("recs"), fx.activity,
+                            f"{base}/checkpoint", fx.item_index, fx.docs,
+                            table=f"lookup_{uuid.uuid4().hex[:8]}")
+    return rounded(out.select(*[F.col(c).cast("double").alias(c)
+                                if c in ("ratingCount", "rank", "itemId", "reviewCount") else c
+                                for c in out.columns]))
+
+
+@query
+def path_coverage(fx):
+    """Users served by the personalised path among the cold users."""
+    return RP.path_coverage(fx.view("recs"), fx.cold_users, REC.SOURCE_COLD)
