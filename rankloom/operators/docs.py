@@ -61,23 +61,28 @@ def item_documents(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFram
     return docs.filter(F.col("_len") > min_chars).drop("_len")
 
 
+def item_text_stats(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFrame:
+    """(asin, reviewCount, avgRating, docChars, lastPart) for items whose joined text
+    would be longer than ``min_chars``; ``lastPart`` is the (time, reviewer, text)
+    key of the final part.  One grouped aggregate with partial aggregation."""
+    stats = _texts(clean).groupBy("asin").agg(
+        F.count(F.lit(1)).alias("reviewCount"), F.avg("overall").alias("avgRating"),
+        (F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("docChars"),
+        F.max(F.struct("unixReviewTime", "reviewerID", "text")).alias("lastPart"))
+    return stats.filter(F.col("docChars") > min_chars)
+
+
 def item_text_parts(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFrame:
     """One row per review text of items whose document would pass ``min_chars``:
     (asin, unixReviewTime, reviewerID, text, reviewCount, avgRating, docChars, isLast).
 
-    ``isLast`` marks the final part in document order.  Per-item values come from a
-    grouped aggregate joined back on asin (partial aggregation handles hot items;
-    AQE splits a skewed join partition).
+    ``isLast`` marks the final part in document order.  Per-item values come from
+    ``item_text_stats`` joined back on asin (AQE splits a skewed join partition).
     """
-    parts = _texts(clean)
-    stats = parts.groupBy("asin").agg(
-        F.count(F.lit(1)).alias("reviewCount"), F.avg("overall").alias("avgRating"),
-        (F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("docChars"),
-        F.max(F.struct("unixReviewTime", "reviewerID", "text")).alias("_last"))
-    joined = parts.join(stats.filter(F.col("docChars") > min_chars), "asin")
-    is_last = ((F.col("_last.unixReviewTime") == F.col("unixReviewTime"))
-               & (F.col("_last.reviewerID") == F.col("reviewerID"))
-               & (F.col("_last.text") == F.col("text")))
+    joined = _texts(clean).join(item_text_stats(clean, min_chars), "asin")
+    is_last = ((F.col("lastPart.unixReviewTime") == F.col("unixReviewTime"))
+               & (F.col("lastPart.reviewerID") == F.col("reviewerID"))
+               & (F.col("lastPart.text") == F.col("text")))
     return joined.select("asin", "unixReviewTime", "reviewerID", "text", "reviewCount",
                          "avgRating", "docChars", is_last.alias("isLast"))
 

@@ -1,11 +1,11 @@
-"""Stage 1: raw reviews → clean reviews, id indexes, ratings, item documents."""
+"""Stage 1: raw reviews → clean reviews, id indexes, ratings, item text."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 from rankloom.operators.clean import clean_reviews
-from rankloom.operators.docs import item_documents, item_text_parts
+from rankloom.operators.docs import item_documents, item_text_parts, item_text_stats
 from rankloom.operators.index import build_index
 from rankloom.operators.ratings import build_ratings
 from rankloom.sources.tables import write_table
@@ -13,7 +13,14 @@ from rankloom.sources.tables import write_table
 
 def preprocess(raw: DataFrame) -> dict[str, DataFrame]:
     """Lazy tables of stage 1.  The indexes are checkpointed once (ids must not
-    change between the tables that use them)."""
+    change between the tables that use them).
+
+    ``item_parts`` (one row per review text, with per-item statistics) is what the
+    embedding stage reads; ``item_stats`` carries the per-item numbers served to
+    users.  ``item_docs`` (one concatenated string per item) is available for
+    consumers that need the joined text; a very popular item makes it one huge row,
+    so the plan writes it only when asked.
+    """
     clean = clean_reviews(raw)
     users = build_index(clean, "reviewerID", "userIndex")
     items = build_index(clean, "asin", "itemIndex")
@@ -22,16 +29,22 @@ def preprocess(raw: DataFrame) -> dict[str, DataFrame]:
         "user_index": users,
         "item_index": items,
         "ratings": build_ratings(clean, users, items),
-        "item_docs": item_documents(clean),
         "item_parts": item_text_parts(clean),
+        "item_stats": item_text_stats(clean).drop("lastPart"),
+        "item_docs": item_documents(clean),
     }
 
 
 # Output part counts of the reference's tables.
-OUTPUT_FILES = {"ratings": 100, "item_docs": 50, "user_index": 10, "item_index": 10}
+OUTPUT_FILES = {"ratings": 100, "item_parts": 50, "item_stats": 10, "user_index": 10,
+                "item_index": 10}
 
 
 def write_preprocessed(tables: dict[str, DataFrame], out_dir: str,
-                       files: dict[str, int] | None = None) -> None:
-    for name, n in (files or OUTPUT_FILES).items():
+                       files: dict[str, int] | None = None, joined_docs: bool = False) -> None:
+    """Write the stage-1 tables as parquet folders under ``out_dir``."""
+    plan = dict(files or OUTPUT_FILES)
+    if joined_docs:
+        plan["item_docs"] = 50
+    for name, n in plan.items():
         write_table(tables[name], f"{out_dir}/{name}", files=n)
