@@ -57,3 +57,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "rankloom", name)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start high enough that each holds ~``target_partition_bytes``
+    of input (AQE then coalesces small ones and splits skewed ones), and never
+    below 3 waves of the cluster's cores; scans split parquet into ~256 MB tasks.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    }
