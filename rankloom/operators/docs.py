@@ -63,12 +63,15 @@ def item_documents(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFram
 
 def item_text_stats(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFrame:
     """(asin, reviewCount, avgRating, docChars, lastPart) for items whose joined text
-    would be longer than ``min_chars``; ``lastPart`` is the (time, reviewer, text)
-    key of the final part.  One grouped aggregate with partial aggregation."""
+    would be longer than ``min_chars``; ``lastPart`` is (time, reviewer, md5 of text)
+    of the final part in (time, reviewer, text) order.  One grouped aggregate with
+    partial aggregation; rows stay small (no text), so the table can be broadcast."""
+    order = F.struct("unixReviewTime", "reviewerID", "text")
+    key = F.struct("unixReviewTime", "reviewerID", F.md5("text").alias("h"))
     stats = _texts(clean).groupBy("asin").agg(
         F.count(F.lit(1)).alias("reviewCount"), F.avg("overall").alias("avgRating"),
         (F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("docChars"),
-        F.max(F.struct("unixReviewTime", "reviewerID", "text")).alias("lastPart"))
+        F.max_by(key, order).alias("lastPart"))
     return stats.filter(F.col("docChars") > min_chars)
 
 
@@ -82,7 +85,7 @@ def item_text_parts(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFra
     joined = _texts(clean).join(item_text_stats(clean, min_chars), "asin")
     is_last = ((F.col("lastPart.unixReviewTime") == F.col("unixReviewTime"))
                & (F.col("lastPart.reviewerID") == F.col("reviewerID"))
-               & (F.col("lastPart.text") == F.col("text")))
+               & (F.col("lastPart.h") == F.md5("text")))
     return joined.select("asin", "unixReviewTime", "reviewerID", "text", "reviewCount",
                          "avgRating", "docChars", is_last.alias("isLast"))
 
