@@ -60,8 +60,13 @@ def word2vec_estimator(vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUN
 
 
 def train_word2vec(parts: DataFrame, **params) -> Word2VecModel:
-    """Fit on the parts' token lists (one sentence per review text)."""
+    """Fit on the parts' token lists (one sentence per review text).
+
+    Training runs on ``partitions`` parallel model copies (default: the cluster's
+    default parallelism), merged after every iteration.
+    """
     sentences = parts.filter(F.col("nTokens") > 0).select("tokens")
+    params.setdefault("partitions", parts.sparkSession.sparkContext.defaultParallelism)
     return word2vec_estimator(**params).fit(sentences)
 
 
