@@ -65,7 +65,7 @@ def main() -> None:
     fx = Fixture(spark, sf_dir)
 
     def stage1():
-        PP.write_preprocessed(PP.preprocess(fx.reviews), f"{out}/data")
+        PP.run_preprocess(fx.reviews, f"{out}/data")
 
     def stage2():
         st = TR.als_stage(fx.ratings)

@@ -132,7 +132,7 @@ def _top_k_array(scored: Column, k: int, ties: bool) -> Column:
     if not ties:
         top = F.slice(ordered, 1, k)
         return F.transform(top, lambda e, i: F.struct(e.alias("e"), (i + 1).alias("rank")))
-    kth = F.element_at(ordered, k)["neg"]
+    kth = F.try_element_at(ordered, F.lit(k))["neg"]
     kept = F.when(F.size(ordered) <= k, ordered).otherwise(
         F.filter(ordered, lambda e: e["neg"] <= kth))
     return F.transform(kept, lambda e: F.struct(
@@ -269,11 +269,14 @@ def combine(*paths: DataFrame) -> DataFrame:
 
 def recommend_warm(als_model, ranker, warm_users: DataFrame, items: DataFrame | None,
                    activity: DataFrame, popularity: DataFrame, n_candidates: int = 50,
-                   k: int = TOP_K, ties: bool = False) -> DataFrame:
+                   k: int = TOP_K, ties: bool = False, exclude_seen: bool = False,
+                   ratings: DataFrame | None = None) -> DataFrame:
     """ALS top-``n_candidates`` per warm user, re-scored by the ranker (source ``als_gbt``).
 
     Each user's list is bounded by ``n_candidates``, so the per-user min-max
-    window and the final rank window stay small per key.
+    window and the final rank window stay small per key.  ``exclude_seen`` (needs
+    ``ratings``) drops candidates the user already rated before ranking; off by
+    default, as in the reference.
     """
     from rankloom.operators import als as A
     from rankloom.operators import features as FE
@@ -283,4 +286,9 @@ def recommend_warm(als_model, ranker, warm_users: DataFrame, items: DataFrame |
     feats = FE.candidate_features(FE.candidate_minmax(cands), items, activity, popularity)
     scored = RK.score(ranker, feats).select(
         "userId", "itemId", "hybridScore", "alsScore", "w2vScore", F.lit(SOURCE_WARM).alias("source"))
+    if exclude_seen:
+        if ratings is None:
+            raise ValueError("exclude_seen needs ratings")
+        seen = ratings.select("userId", "itemId").join(warm_users.select("userId"), "userId", "left_semi")
+        scored = scored.join(seen, ["userId", "itemId"], "left_anti")
     return rank_within_user(scored, k=k, ties=ties)

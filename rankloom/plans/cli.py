@@ -37,8 +37,8 @@ def _emit(d: dict) -> None:
 
 
 def run_preprocess(spark, a) -> dict:
-    tables = PP.preprocess(read_reviews(spark, a.reviews, a.partitions))
-    PP.write_preprocessed(tables, a.data, joined_docs=a.joined_docs)
+    PP.run_preprocess(read_reviews(spark, a.reviews, a.partitions), a.data,
+                      joined_docs=a.joined_docs)
     r = read_table(spark, f"{a.data}/ratings").agg(
         F.count(F.lit(1)).alias("ratings"), F.countDistinct("userId").alias("users"),
         F.countDistinct("itemId").alias("items")).first()

@@ -74,7 +74,8 @@ class Fixture:
 
     @cached_property
     def pool(self) -> DataFrame:
-        return REC.candidate_pool(self.items, self.popularity)
+        # at most POOL_SIZE rows: cached so its two small fetches share one run
+        return REC.candidate_pool(self.items, self.popularity).cache()
 
 
     @cached_property

@@ -48,3 +48,15 @@ def write_preprocessed(tables: dict[str, DataFrame], out_dir: str,
         plan["item_docs"] = 50
     for name, n in plan.items():
         write_table(tables[name], f"{out_dir}/{name}", files=n)
+
+
+def run_preprocess(raw: DataFrame, out_dir: str, files: dict[str, int] | None = None,
+                   joined_docs: bool = False) -> dict[str, DataFrame]:
+    """Stage 1 as a job: the clean reviews are written once to ``out_dir/clean``
+    and every other table is derived from that parquet copy, so the raw scan and
+    cleaning run once, and each derived table reads only the columns it needs."""
+    write_table(clean_reviews(raw), f"{out_dir}/clean")
+    clean = raw.sparkSession.read.parquet(f"{out_dir}/clean")
+    tables = preprocess(clean)
+    write_preprocessed(tables, out_dir, files, joined_docs)
+    return tables
