@@ -15,7 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.functions.scoring import log_count, popularity_blend, taste_blend
+from rankloom.functions.scoring import TASTE_WEIGHTS, log_count, popularity_blend
 from rankloom.functions.vectors import dot, l2_norm
 from rankloom.operators.bounded import bounded_array, bounded_ids
 from rankloom.operators.ratings import WARM_MIN_RATINGS, user_activity
@@ -170,10 +170,12 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
     array; scoring, exclusion and top-k are array functions on that row, so the
     plan has no users × pool row explosion and no shuffle after the profiles.
     """
+    w_sim, w_rate, w_pop = TASTE_WEIGHTS
+    # the item-only terms of the blend are computed once per pool item
     pool_rows = pool.select(
         "itemId", F.col("embedding").alias("emb"), l2_norm("embedding").alias("norm"),
-        ((F.col("itemAvgRating") / F.lit(5.0)) * 0.25).alias("rate_part"),
-        ((F.col("logItemPop") / F.lit(10.0)) * 0.15).alias("pop_part"))
+        ((F.col("itemAvgRating") / F.lit(5.0)) * w_rate).alias("rate_part"),
+        ((F.col("logItemPop") / F.lit(10.0)) * w_pop).alias("pop_part"))
     pool_arr, ids = bounded_array(pool_rows, max_pool, "candidate pool", key="itemId")
     users = profiles.select("userId", "profile", l2_norm("profile").alias("_pn"),
                             *(["seen"] if "seen" in profiles.columns else []))
@@ -194,7 +196,7 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
     def entry(p: Column) -> Column:
         sim = F.when((F.col("_pn") == 0.0) | (p["norm"] == 0.0), F.lit(0.0)).otherwise(
             dot("profile", p["emb"]) / (F.col("_pn") * p["norm"]))
-        score = sim * 0.60 + p["rate_part"] + p["pop_part"]
+        score = sim * w_sim + p["rate_part"] + p["pop_part"]
         if digits is not None:
             score = F.round(score, digits)
         return F.struct((-score).alias("neg"), p["itemId"].alias("itemId"),

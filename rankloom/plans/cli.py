@@ -22,7 +22,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.operators import als as A
-from rankloom.operators import embed as EM
 from rankloom.operators import ranker as RK
 from rankloom.operators.report import rmse_report
 from rankloom.plans import preprocess as PP

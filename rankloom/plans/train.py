@@ -11,7 +11,6 @@ from rankloom.operators import als as A
 from rankloom.operators import embed as EM
 from rankloom.operators import features as FE
 from rankloom.operators import ranker as RK
-from rankloom.operators import recommend as REC
 from rankloom.operators.ratings import WARM_MIN_RATINGS, item_popularity, user_activity
 from rankloom.operators.sampling import sample_keys
 
@@ -71,5 +70,3 @@ def ranker_stage(als_model, ratings: DataFrame, items: DataFrame | None, seed: i
     report = RK.evaluate(model, training.filter(F.col("split") == "test"))
     return RankerStage(model, labeled, training, report)
 
-
-__all__ = ["als_stage", "embedding_stage", "ranker_stage", "REC"]

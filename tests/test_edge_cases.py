@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from rankloom.functions.scoring import taste_blend
 from rankloom.functions.vectors import cosine, l2_norm
 from rankloom.operators import features as FE
 from rankloom.operators import recommend as REC
@@ -72,8 +73,8 @@ def test_array_top_k_matches_window_ranks(spark):
                                  "userId int, profile array<double>")
     pairs = prof.join(pool, how="cross").select(  # test-only brute force over 60 pairs
         "userId", "itemId",
-        F.round(cosine("profile", "embedding") * 0.60 + (F.col("itemAvgRating") / 5.0) * 0.25
-                + (F.col("logItemPop") / 10.0) * 0.15, 6).alias("hybridScore"))
+        F.round(taste_blend(cosine("profile", "embedding"), "itemAvgRating", "logItemPop"), 6)
+        .alias("hybridScore"))
     for ties in (False, True):
         got = {(r.userId, r.itemId, r["rank"]) for r in
                REC.recommend_cold(prof, pool, None, ties=ties, digits=6, max_pool=20).collect()}

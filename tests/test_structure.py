@@ -1,6 +1,5 @@
 """Index, sampling and split properties against brute force on the small fixture."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.keys import seeded_key
