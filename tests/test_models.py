@@ -89,3 +89,23 @@ def test_balanced_set_keeps_all_positives(fx):
     bal = FE.balanced_training_set(lab)
     assert bal.filter("label = 1.0").count() == lab.filter("label = 1.0").count()
     assert set(r.split for r in bal.select("split").distinct().collect()) <= {"train", "test"}
+
+
+def test_warm_path_bounds_and_exclude_seen(fx):
+    from rankloom.operators import recommend as REC
+    model, _, _ = A.fit_active(fx.ratings, max_iter=3)
+    feats = FE.candidate_features(
+        FE.candidate_minmax(A.candidates_for(model, fx.warm_users, 20)), fx.items,
+        fx.activity, fx.popularity)
+    lab = FE.label_candidates(feats, fx.ratings, fx.warm_users)
+    ranker = RK.train_ranker(FE.balanced_training_set(lab), max_iter=3)
+    base = REC.recommend_warm(model, ranker, fx.warm_users, fx.items, fx.activity,
+                              fx.popularity, n_candidates=20).toPandas()
+    assert base.groupby("userId").size().max() <= 10
+    assert set(base["source"]) == {"als_gbt"}
+    assert base["hybridScore"].between(0, 1).all()
+    excl = REC.recommend_warm(model, ranker, fx.warm_users, fx.items, fx.activity,
+                              fx.popularity, n_candidates=20, exclude_seen=True,
+                              ratings=fx.ratings)
+    seen = fx.ratings.select("userId", "itemId")
+    assert excl.join(seen, ["userId", "itemId"]).count() == 0
