@@ -78,8 +78,9 @@ def main() -> None:
     rk = _timed(times, "stage4_ranker", lambda: TR.ranker_stage(als.model, fx.ratings, fx.items))
 
     def stage5():
-        recs = RG.generate(fx.ratings, fx.items, als.model, rk.model)["recs"]
-        write_table(recs, f"{out}/recommendations", sort_by=["userId", "rank"])
+        gen = RG.generate(fx.ratings, fx.items, als.model, rk.model)
+        write_table(gen["recs"], f"{out}/recommendations", sort_by=["userId", "rank"])
+        RG.release(gen)
 
     _timed(times, "stage5_recommend", stage5)
     m = re.search(r"sf([0-9.]+)", sf_dir)

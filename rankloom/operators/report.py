@@ -149,11 +149,12 @@ def lookup_recs(requests: DataFrame, recs: DataFrame, activity: DataFrame,
         "userId", clamp(F.coalesce(F.col("n") if "n" in requests.columns else F.lit(None),
                                    F.lit(DEFAULT_N)), MIN_N, MAX_N).alias("topN"))
     w = Window.partitionBy("userId").orderBy("rank", "itemId")
-    ranked = enrich_recs(recs, item_index, item_meta).withColumn("_pos", F.row_number().over(w))
-    first = ranked.filter(F.col("_pos") == 1).select("userId", F.col("source").alias("userSource"))
+    # one window pass: position in the user's list and the source of its first row
+    ranked = (enrich_recs(recs, item_index, item_meta)
+              .withColumn("_pos", F.row_number().over(w))
+              .withColumn("userSource", F.first("source").over(w)))
     hits = req.join(ranked, "userId", "left").filter(F.col("_pos").isNull() | (F.col("_pos") <= F.col("topN")))
-    out = (hits.join(first, "userId", "left")
-           .join(activity.select("userId", "userRatingCount"), "userId", "left"))
+    out = hits.join(activity.select("userId", "userRatingCount"), "userId", "left")
     found = F.col("itemId").isNotNull()
     count = F.coalesce("userRatingCount", F.lit(0)).cast("long")
     return out.select(

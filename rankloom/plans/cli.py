@@ -79,6 +79,7 @@ def run_recommend(spark, a) -> dict:
                       GBTClassificationModel.load(f"{a.models}/ranker"), seed=a.seed,
                       sample_size=a.sample, route_uncovered=a.route_uncovered)
     write_table(out["recs"], f"{a.out}/recommendations", sort_by=["userId", "rank"])
+    RG.release(out)
     recs = read_table(spark, f"{a.out}/recommendations")
     seg = read_table(spark, f"{a.data}/ratings").select("userId").distinct() if a.sample is None \
         else out["segments"].select("userId")
