@@ -74,7 +74,8 @@ def fitted(fx: Fixture) -> Fitted:
     users = sample_keys(warm, "userId", 200_000)
     cands = A.candidates_for(als, users, 50)
     feats = FE.candidate_features(FE.candidate_minmax(cands), items, activity, popularity)
-    training = FE.balanced_training_set(FE.label_candidates(feats, ratings, users)).cache()
+    labeled = FE.label_candidates(feats, ratings, users).checkpoint(eager=True)
+    training = FE.balanced_training_set(labeled).cache()
     ranker = fit_or_load(f"{base}/ranker",
                          lambda: RK.train_ranker(training.filter(F.col("split") == "train")),
                          GBTClassificationModel)

@@ -13,6 +13,7 @@ from rankloom.operators import features as FE
 from rankloom.operators import ranker as RK
 from rankloom.operators.ratings import WARM_MIN_RATINGS, item_popularity, user_activity
 from rankloom.operators.sampling import sample_keys
+from rankloom.session import ensure_checkpoint_dir
 
 # Users sampled to train the ranker, candidates per user.
 RANKER_USERS, RANKER_CANDIDATES = 200_000, 50
@@ -64,7 +65,10 @@ def ranker_stage(als_model, ratings: DataFrame, items: DataFrame | None, seed: i
     users = sample_keys(warm, "userId", sample_size, seed)
     cands = A.candidates_for(als_model, users, n_candidates)
     feats = FE.candidate_features(FE.candidate_minmax(cands), items, activity, popularity)
-    labeled = FE.label_candidates(feats, ratings, users)
+    # used twice (label counts, then the sample): cut the lineage once in the shared
+    # checkpoint folder instead of running the ALS subset recommendation twice
+    ensure_checkpoint_dir(ratings.sparkSession)
+    labeled = FE.label_candidates(feats, ratings, users).checkpoint(eager=True)
     training = FE.balanced_training_set(labeled, seed=seed).cache()
     model = RK.train_ranker(training.filter(F.col("split") == "train"), seed=seed, **params)
     report = RK.evaluate(model, training.filter(F.col("split") == "test"))
