@@ -37,7 +37,7 @@ def _emit(d: dict) -> None:
 
 def run_preprocess(spark, a) -> dict:
     PP.run_preprocess(read_reviews(spark, a.reviews, a.partitions), a.data,
-                      joined_docs=a.joined_docs)
+                      joined_docs=a.joined_docs, previous_dir=a.previous)
     r = read_table(spark, f"{a.data}/ratings").agg(
         F.count(F.lit(1)).alias("ratings"), F.countDistinct("userId").alias("users"),
         F.countDistinct("itemId").alias("items")).first()
@@ -106,6 +106,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--mode", choices=["reuse", "retrain"], default="retrain")
     p.add_argument("--joined-docs", action="store_true")
+    p.add_argument("--previous", help="earlier --data folder whose id indexes are extended")
     p.add_argument("--route-uncovered", action="store_true")
     return p
 

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 
 from rankloom.operators.clean import clean_reviews
 from rankloom.operators.docs import item_documents, item_text_parts, item_text_stats
-from rankloom.operators.index import build_index
+from rankloom.operators.index import build_index, extend_index
 from rankloom.operators.ratings import build_ratings
 from rankloom.sources.tables import write_table
 
 
-def preprocess(raw: DataFrame) -> dict[str, DataFrame]:
+def preprocess(raw: DataFrame, previous_users: DataFrame | None = None,
+               previous_items: DataFrame | None = None) -> dict[str, DataFrame]:
     """Lazy tables of stage 1.  The indexes are checkpointed once (ids must not
-    change between the tables that use them).
+    change between the tables that use them).  With ``previous_*`` indexes, known
+    keys keep their ids and new keys are numbered after the current maximum, so
+    models trained on earlier ids stay valid.
 
     ``item_parts`` (one row per review text, with per-item statistics) is what the
     embedding stage reads; ``item_stats`` carries the per-item numbers served to
@@ -22,8 +25,10 @@ def preprocess(raw: DataFrame) -> dict[str, DataFrame]:
     so the plan writes it only when asked.
     """
     clean = clean_reviews(raw)
-    users = build_index(clean, "reviewerID", "userIndex")
-    items = build_index(clean, "asin", "itemIndex")
+    users = (build_index(clean, "reviewerID", "userIndex") if previous_users is None
+             else extend_index(previous_users, clean, "reviewerID", "userIndex"))
+    items = (build_index(clean, "asin", "itemIndex") if previous_items is None
+             else extend_index(previous_items, clean, "asin", "itemIndex"))
     return {
         "clean": clean,
         "user_index": users,
@@ -51,12 +56,18 @@ def write_preprocessed(tables: dict[str, DataFrame], out_dir: str,
 
 
 def run_preprocess(raw: DataFrame, out_dir: str, files: dict[str, int] | None = None,
-                   joined_docs: bool = False) -> dict[str, DataFrame]:
+                   joined_docs: bool = False, previous_dir: str | None = None) -> dict[str, DataFrame]:
     """Stage 1 as a job: the clean reviews are written once to ``out_dir/clean``
     and every other table is derived from that parquet copy, so the raw scan and
     cleaning run once, and each derived table reads only the columns it needs."""
     write_table(clean_reviews(raw), f"{out_dir}/clean")
-    clean = raw.sparkSession.read.parquet(f"{out_dir}/clean")
-    tables = preprocess(clean)
+    spark = raw.sparkSession
+    clean = spark.read.parquet(f"{out_dir}/clean")
+    prev_u = prev_i = None
+    if previous_dir:
+        # materialised before out_dir is overwritten (the folders may be the same)
+        prev_u = spark.read.parquet(f"{previous_dir}/user_index").checkpoint(eager=True)
+        prev_i = spark.read.parquet(f"{previous_dir}/item_index").checkpoint(eager=True)
+    tables = preprocess(clean, prev_u, prev_i)
     write_preprocessed(tables, out_dir, files, joined_docs)
     return tables

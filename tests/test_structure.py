@@ -41,3 +41,15 @@ def test_split_by_hash_is_a_partition(spark):
     assert tr.select("userId").intersect(te.select("userId")).count() == 0
     frac = tr.select("userId").distinct().count() / ratings.select("userId").distinct().count()
     assert 0.65 < frac < 0.95
+
+
+def test_preprocess_keeps_previous_ids(spark):
+    from rankloom.plans.preprocess import preprocess
+    reviews = td.view(spark, SMALL, "reviews")
+    first = preprocess(reviews.filter(F.col("unixReviewTime") < 880000000))
+    old_u = {r.reviewerID: r.userIndex for r in first["user_index"].collect()}
+    second = preprocess(reviews, first["user_index"], first["item_index"])
+    new_u = {r.reviewerID: r.userIndex for r in second["user_index"].collect()}
+    assert all(new_u[k] == v for k, v in old_u.items())
+    assert sorted(new_u.values()) == list(range(len(new_u)))
+    assert len(new_u) > len(old_u)
