@@ -26,7 +26,7 @@ from rankloom.plans.fixture import Fixture
 from rankloom.session import scratch_path
 from rankloom.sources.models import fit_or_load
 
-MODEL_VERSION = "v1"   # bump when training code changes, so saved models are refit
+MODEL_VERSION = "v2"   # bump when training code changes, so saved models are refit
 _MEMO: dict = {}
 
 
