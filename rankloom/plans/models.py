@@ -1,14 +1,14 @@
 """The fitted models of the full pipeline over the review fixture.
 
-Models are fitted once per scale and saved in the session's shared checkpoint
-folder; later queries (in this or another process) load them through
-``fit_or_load``, as the reference reuses a saved Word2Vec model.
+Models are fitted once per scale and saved under the shared checkpoint root
+(``spark.checkpoint.dir``); later queries, in this or another application, load
+them through ``fit_or_load``, as the reference reuses a saved Word2Vec model.
 """
 
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.recommendation import ALSModel
@@ -23,27 +23,70 @@ from rankloom.operators.ratings import WARM_MIN_RATINGS, item_popularity, user_a
 from rankloom.operators.sampling import sample_keys
 from rankloom.plans import preprocess as PP
 from rankloom.plans.fixture import Fixture
-from rankloom.session import scratch_path
+from rankloom.session import shared_path
 from rankloom.sources.models import fit_or_load
 
 MODEL_VERSION = "v2"   # bump when training code changes, so saved models are refit
 _MEMO: dict = {}
 
 
-@dataclass
 class Fitted:
-    tables: dict
-    ratings: DataFrame
-    activity: DataFrame
-    popularity: DataFrame
-    als: ALSModel
-    als_test: DataFrame
-    w2v: object
-    parts: DataFrame
-    items: DataFrame
-    ranker: GBTClassificationModel
-    training: DataFrame
-    ranker_users: DataFrame
+    """Tables and models of the full pipeline; each model is fitted (or loaded)
+    only when first needed, so a query touching ALS does not wait for Word2Vec."""
+
+    def __init__(self, fx: Fixture):
+        self.spark = fx.spark
+        self.base = shared_path(fx.spark, f"models-{_tag(fx.sf_dir)}")
+        self.tables = PP.preprocess(fx.reviews)
+        self.ratings = self.tables["ratings"].cache()
+        self.activity, self.popularity = user_activity(self.ratings), item_popularity(self.ratings)
+
+    @cached_property
+    def _als_split(self):
+        return A.split_ratings(A.active_ratings(self.ratings))
+
+    @property
+    def als_test(self) -> DataFrame:
+        return self._als_split[1]
+
+    @cached_property
+    def als(self) -> ALSModel:
+        train = self._als_split[0]
+        return fit_or_load(f"{self.base}/als", lambda: A.train_als(train), ALSModel)
+
+    @cached_property
+    def parts(self) -> DataFrame:
+        return EM.embeddable_parts(EM.part_tokens(self.tables["item_parts"])).cache()
+
+    @cached_property
+    def w2v(self):
+        return EM.word2vec_fit_or_load(f"{self.base}/word2vec", self.parts)
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return (EM.item_embeddings(self.w2v, self.parts).join(self.tables["item_index"], "asin")
+                .select(F.col("itemIndex").cast("int").alias("itemId"), "embedding",
+                        F.col("avgRating").alias("itemAvgRating"),
+                        F.col("reviewCount").alias("itemReviewCount"))).cache()
+
+    @cached_property
+    def ranker_users(self) -> DataFrame:
+        warm = self.activity.filter(F.col("userRatingCount") >= WARM_MIN_RATINGS)
+        return sample_keys(warm, "userId", 200_000)
+
+    @cached_property
+    def training(self) -> DataFrame:
+        cands = A.candidates_for(self.als, self.ranker_users, 50)
+        feats = FE.candidate_features(FE.candidate_minmax(cands), self.items, self.activity,
+                                      self.popularity)
+        labeled = FE.label_candidates(feats, self.ratings, self.ranker_users).checkpoint(eager=True)
+        return FE.balanced_training_set(labeled).cache()
+
+    @cached_property
+    def ranker(self) -> GBTClassificationModel:
+        train = self.training.filter(F.col("split") == "train")
+        return fit_or_load(f"{self.base}/ranker", lambda: RK.train_ranker(train),
+                           GBTClassificationModel)
 
 
 def _tag(sf_dir: str) -> str:
@@ -52,34 +95,6 @@ def _tag(sf_dir: str) -> str:
 
 def fitted(fx: Fixture) -> Fitted:
     key = (fx.spark.sparkContext.applicationId, fx.sf_dir)
-    if key in _MEMO:
-        return _MEMO[key]
-    base = scratch_path(fx.spark, f"models-{_tag(fx.sf_dir)}")
-    tables = PP.preprocess(fx.reviews)
-    ratings = tables["ratings"].cache()
-    activity, popularity = user_activity(ratings), item_popularity(ratings)
-
-    active = A.active_ratings(ratings)
-    train, test = A.split_ratings(active)
-    als = fit_or_load(f"{base}/als", lambda: A.train_als(train), ALSModel)
-
-    parts = EM.embeddable_parts(EM.part_tokens(tables["item_parts"])).cache()
-    w2v = EM.word2vec_fit_or_load(f"{base}/word2vec", parts)
-    items = (EM.item_embeddings(w2v, parts).join(tables["item_index"], "asin")
-             .select(F.col("itemIndex").cast("int").alias("itemId"), "embedding",
-                     F.col("avgRating").alias("itemAvgRating"),
-                     F.col("reviewCount").alias("itemReviewCount"))).cache()
-
-    warm = activity.filter(F.col("userRatingCount") >= WARM_MIN_RATINGS)
-    users = sample_keys(warm, "userId", 200_000)
-    cands = A.candidates_for(als, users, 50)
-    feats = FE.candidate_features(FE.candidate_minmax(cands), items, activity, popularity)
-    labeled = FE.label_candidates(feats, ratings, users).checkpoint(eager=True)
-    training = FE.balanced_training_set(labeled).cache()
-    ranker = fit_or_load(f"{base}/ranker",
-                         lambda: RK.train_ranker(training.filter(F.col("split") == "train")),
-                         GBTClassificationModel)
-    out = Fitted(tables, ratings, activity, popularity, als, test, w2v, parts, items, ranker,
-                 training, users)
-    _MEMO[key] = out
-    return out
+    if key not in _MEMO:
+        _MEMO[key] = Fitted(fx)
+    return _MEMO[key]

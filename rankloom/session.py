@@ -80,3 +80,14 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     }
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A folder under the configured ``spark.checkpoint.dir`` root that outlives the
+    application (Spark adds a per-application subfolder for checkpoints), for
+    artefacts reused across runs such as saved models.  Falls back to
+    ``scratch_path`` when the setting is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        return scratch_path(spark, name)
+    return os.path.join(root.rstrip("/"), "rankloom", name)
