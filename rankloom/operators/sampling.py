@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.keys import hash_bucket, seeded_key
+from rankloom.session import ensure_checkpoint_dir
 
 
 def sample_keys(df: DataFrame, key: str, n: int | None, seed: int = 42,
@@ -22,21 +23,28 @@ def sample_keys(df: DataFrame, key: str, n: int | None, seed: int = 42,
     from the key count (hashes are uniform), checked with one count, widened if it
     kept too few, and only the survivors go through the exact ordered limit.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     keys = df.select(key).distinct().withColumn("_h", seeded_key(key, seed))
     if n is None:
         return keys.select(key)
-    total = keys.count()
-    if total <= n:
-        return keys.select(key)
-    frac = min(1.0, n * (1.0 + slack) / total + 64.0 / total)
-    while True:
-        # first 8 hex digits as a number in [0, 2^32)
-        limit_hex = int(frac * 0xFFFFFFFF)
-        kept = keys.filter(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") <= limit_hex)
-        if frac >= 1.0 or kept.count() >= n:
-            break
-        frac = min(1.0, frac * 2)
-    return kept.orderBy("_h", key).limit(n).select(key)
+    keys = keys.persist()           # counted, filtered and limited below: scan once
+    try:
+        total = keys.count()
+        if total <= n:
+            return keys.select(key).checkpoint(eager=True)
+        frac = min(1.0, n * (1.0 + slack) / total + 64.0 / total)
+        while True:
+            # first 8 hex digits as a number in [0, 2^32)
+            limit_hex = int(frac * 0xFFFFFFFF)
+            kept = keys.filter(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") <= limit_hex)
+            if frac >= 1.0 or kept.count() >= n:
+                break
+            frac = min(1.0, frac * 2)
+        # the sample (n keys) is frozen in the shared checkpoint folder: later joins
+        # read it directly and a lost executor cannot change it
+        return kept.orderBy("_h", key).limit(n).select(key).checkpoint(eager=True)
+    finally:
+        keys.unpersist()
 
 
 def split_by_hash(df: DataFrame, key: str, fractions=(0.8, 0.2), seed: int = 42):
