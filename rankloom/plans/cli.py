@@ -103,6 +103,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", help="folder for recommendations")
     p.add_argument("--partitions", type=int, default=None)
     p.add_argument("--sample", type=int, default=RG.SAMPLE_USERS)
+    p.add_argument("--all-users", action="store_true", help="recommend for every user (no sample)")
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--mode", choices=["reuse", "retrain"], default="retrain")
     p.add_argument("--joined-docs", action="store_true")
@@ -113,6 +114,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     a = parser().parse_args(argv)
+    if a.all_users:
+        a.sample = None
     spark = spark or SparkSession.builder.appName(f"rankloom-{a.stage}").getOrCreate()
     ensure_checkpoint_dir(spark)
     result = STAGES[a.stage](spark, a)

@@ -53,3 +53,23 @@ def test_preprocess_keeps_previous_ids(spark):
     assert all(new_u[k] == v for k, v in old_u.items())
     assert sorted(new_u.values()) == list(range(len(new_u)))
     assert len(new_u) > len(old_u)
+
+
+def test_joined_docs_written_only_on_request(spark):
+    import uuid
+    from rankloom.plans.preprocess import run_preprocess
+    from rankloom.session import scratch_path
+    base = scratch_path(spark, f"pp-{uuid.uuid4().hex}")
+    reviews = td.view(spark, SMALL, "reviews")
+    run_preprocess(reviews, f"{base}/a")
+    run_preprocess(reviews, f"{base}/b", joined_docs=True)
+    stats = spark.read.parquet(f"{base}/a/item_stats")
+    docs = spark.read.parquet(f"{base}/b/item_docs")
+    assert docs.count() == stats.count()
+    assert stats.join(docs, ["asin", "reviewCount"]).count() == stats.count()
+    try:
+        spark.read.parquet(f"{base}/a/item_docs").count()
+        written = True
+    except Exception:  # noqa: BLE001 - missing path
+        written = False
+    assert not written
