@@ -32,11 +32,18 @@ def als_estimator(rank: int = RANK, max_iter: int = MAX_ITER, reg: float = REG_P
 
 def split_ratings(ratings: DataFrame, by: str = "row", seed: int = 42,
                   train_fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Repeatable train/test split: by row (the reference's choice) or by user."""
+    """Repeatable train/test split: by row (the reference's choice), by user, or by
+    time (ratings after the ``train_fraction`` timestamp quantile are the test side;
+    needs a ``timestamp`` column)."""
     if by == "user":
         return tuple(split_by_hash(ratings, "userId", (train_fraction, 1 - train_fraction), seed))
+    if by == "time":
+        cut = ratings.agg(F.percentile_approx("timestamp", train_fraction, 100_000)).first()[0]
+        if cut is None:
+            return ratings, ratings.limit(0)
+        return ratings.filter(F.col("timestamp") <= cut), ratings.filter(F.col("timestamp") > cut)
     if by != "row":
-        raise ValueError("by must be 'row' or 'user'")
+        raise ValueError("by must be 'row', 'user' or 'time'")
     # the row's content is its key: exact duplicates land on the same side
     keyed = ratings.withColumn("_k", F.concat_ws("|", *[F.col(c).cast("string") for c in ratings.columns]))
     tr, te = split_by_hash(keyed, "_k", (train_fraction, 1 - train_fraction), seed)
@@ -51,7 +58,8 @@ def train_als(train: DataFrame, **params) -> ALSModel:
 def fit_active(ratings: DataFrame, min_ratings: int = 5, by: str = "row", seed: int = 42,
                **params) -> tuple[ALSModel, DataFrame, DataFrame]:
     """Active users only, split, fit: returns (model, train, test)."""
-    active = active_ratings(ratings, min_ratings)
+    extra = ["timestamp"] if by == "time" else []
+    active = active_ratings(ratings, min_ratings, extra)
     train, test = split_ratings(active, by, seed)
     return train_als(train, seed=seed, **params), train, test
 

@@ -40,7 +40,8 @@ def item_rating_stats(ratings: DataFrame) -> DataFrame:
         F.avg(F.col("rating").cast("double")).alias("itemAvgRating"))
 
 
-def active_ratings(ratings: DataFrame, min_ratings: int = ALS_MIN_RATINGS) -> DataFrame:
+def active_ratings(ratings: DataFrame, min_ratings: int = ALS_MIN_RATINGS,
+                   extra: list[str] | None = None) -> DataFrame:
     """Ratings of users with at least ``min_ratings`` complete ratings.
 
     Rows with a null or NaN field are dropped first.  The user filter is a
@@ -48,7 +49,7 @@ def active_ratings(ratings: DataFrame, min_ratings: int = ALS_MIN_RATINGS) -> Da
     aggregation and by AQE's skew split of the join), not a window over users.
     """
     base = ratings.select(F.col("userId").cast("int"), F.col("itemId").cast("int"),
-                          F.col("rating").cast("float")).na.drop()
+                          F.col("rating").cast("float"), *(extra or [])).na.drop()
     keep = (user_activity(base).filter(F.col("userRatingCount") >= min_ratings)
             .select("userId"))
     return base.join(keep, "userId", "left_semi")

@@ -73,3 +73,13 @@ def test_joined_docs_written_only_on_request(spark):
     except Exception:  # noqa: BLE001 - missing path
         written = False
     assert not written
+
+
+def test_als_time_split(spark):
+    from rankloom.operators.als import split_ratings
+    from rankloom.operators.ratings import active_ratings
+    act = active_ratings(td.view(spark, SMALL, "ratings"), extra=["timestamp"])
+    train, test = split_ratings(act, by="time")
+    assert train.count() + test.count() == act.count()
+    assert train.agg(F.max("timestamp")).first()[0] < test.agg(F.min("timestamp")).first()[0]
+    assert 0.7 < train.count() / act.count() < 0.9
