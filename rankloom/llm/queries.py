@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from rankloom.llm.common import documents
 
@@ -18,3 +17,17 @@ def query(fn):
 def op7_sharding(spark, sf_dir):
     from rankloom.llm.sharding import assign_shards, base_tree
     return assign_shards(documents(spark, sf_dir), base_tree(), base_tree(extra=1))
+
+
+@query
+def op3_bpe(spark, sf_dir):
+    import public_tokenizers
+    from rankloom.llm.bpe import round_trip
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    import public_tokenizers
+    from rankloom.llm.token_counts import token_counts
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
