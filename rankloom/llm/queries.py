@@ -31,3 +31,24 @@ def op4_token_counts(spark, sf_dir):
     import public_tokenizers
     from rankloom.llm.token_counts import token_counts
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def language_model(docs):
+    """Learned from the documents that the contract does not hold out."""
+    from rankloom.llm.language import fold, learn
+    return learn(docs.filter(fold() != 1))
+
+
+@query
+def op9_language(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from rankloom.llm.language import fold, predict
+    docs = documents(spark, sf_dir)
+    rows = docs.select("doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "text")
+    return predict(rows, language_model(docs)).drop("text")
+
+
+@query
+def op10_pii(spark, sf_dir):
+    from rankloom.llm.pii import find_pii
+    return find_pii(documents(spark, sf_dir))
