@@ -52,3 +52,10 @@ def op9_language(spark, sf_dir):
 def op10_pii(spark, sf_dir):
     from rankloom.llm.pii import find_pii
     return find_pii(documents(spark, sf_dir))
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    from rankloom.llm.decontaminate import contamination
+    return contamination(documents(spark, sf_dir),
+                         spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
