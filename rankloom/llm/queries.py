@@ -59,3 +59,9 @@ def op6_decontamination(spark, sf_dir):
     from rankloom.llm.decontaminate import contamination
     return contamination(documents(spark, sf_dir),
                          spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op8_quality(spark, sf_dir):
+    from rankloom.llm.quality import judge
+    return judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
