@@ -65,3 +65,9 @@ def op6_decontamination(spark, sf_dir):
 def op8_quality(spark, sf_dir):
     from rankloom.llm.quality import judge
     return judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op2_jaccard_join(spark, sf_dir):
+    from rankloom.llm.jaccard import jaccard_components
+    return jaccard_components(documents(spark, sf_dir))
