@@ -34,12 +34,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import slices, stash
 from rankloom.llm.graph import components
+from rankloom.llm.packing import pack, unpack, unzipped, zipped
 from rankloom.llm.words import BASE, find_words, mix, shingles
 
 N, PERCENT = 4, 85
@@ -48,25 +48,6 @@ SLICE_BYTES = 4 << 20      # text turned into n-grams at once
 SPARE_BITS = 12            # hash bits for frequencies beyond those that count the corpus
 
 
-def _zip(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
-
-
-def _unzip(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
-
-
-def _squeeze(x: np.ndarray) -> bytes:
-    """Packed integers: their bytes, plane by plane, so that empty planes cost nothing."""
-    return _zip(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes())
-
-
-def _stretch(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(_unzip(data), np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
-
-
 def shingle_sets(texts: list[bytes], n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of the distinct n-grams of each text, sorted by both."""
     docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
@@ -105,20 +86,20 @@ def _digests(docs: DataFrame, key: str, text: str, n: int, percent: int) -> Data
     shift = np.uint64(64 - bits)
     kind = docs.schema[key].dataType.simpleString()
 
-    def pack(batches):
+    def pack_texts(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(
-                    [_zip((t or "").encode()) for t in batch.column(2).to_pylist()],
+                    [zipped((t or "").encode()) for t in batch.column(2).to_pylist()],
                     pa.binary())], ["block", "k", "z"])
 
     packed = docs.select(
         F.coalesce(F.pmod(F.xxhash64(F.col(key), F.crc32(F.col(text).cast("binary"))),
                           F.lit(blocks)).cast("int"), F.lit(0)).alias("block"),
-        F.col(key).alias("k"), F.col(text)).mapInArrow(pack, f"block int, k {kind}, z binary")
+        F.col(key).alias("k"), F.col(text)).mapInArrow(pack_texts, f"block int, k {kind}, z binary")
 
     def sets(table: pa.Table):
-        return shingle_sets([_unzip(z) for z in table.column("z").to_pylist()], n)
+        return shingle_sets([unzipped(z) for z in table.column("z").to_pylist()], n)
 
     def cut(x: np.ndarray) -> np.ndarray:    # where each bucket begins in sorted hashes
         edges = [(b << bits) // blocks for b in range(blocks)]
@@ -133,14 +114,14 @@ def _digests(docs: DataFrame, key: str, text: str, n: int, percent: int) -> Data
         return pa.table({
             "bucket": pa.array(some, pa.int32()),
             "block": pa.array([block] * len(some), pa.int32()),
-            "gaps": pa.array([_squeeze(np.diff(x[at[b]:at[b + 1]], prepend=np.uint64(0)))
+            "gaps": pa.array([pack(np.diff(x[at[b]:at[b + 1]], prepend=np.uint64(0)))
                               for b in some], pa.binary()),
-            "counts": pa.array([_squeeze(counts[at[b]:at[b + 1]].astype(np.uint32))
+            "counts": pa.array([pack(counts[at[b]:at[b + 1]].astype(np.uint32))
                                 for b in some], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
-        parts = [np.cumsum(_stretch(g, np.uint64)) for g in table.column("gaps").to_pylist()]
-        counts = np.concatenate([_stretch(c, np.uint32)
+        parts = [np.cumsum(unpack(g, np.uint64)[0]) for g in table.column("gaps").to_pylist()]
+        counts = np.concatenate([unpack(c, np.uint32)[0]
                                  for c in table.column("counts").to_pylist()])
         _, place = np.unique(np.concatenate(parts), return_inverse=True)
         df = np.bincount(place, counts)
@@ -148,7 +129,7 @@ def _digests(docs: DataFrame, key: str, text: str, n: int, percent: int) -> Data
         level = level.astype(np.uint8)[place]
         ends = np.cumsum([len(p) for p in parts])
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                         "levels": pa.array([_squeeze(x) for x in np.split(level, ends[:-1])],
+                         "levels": pa.array([pack(x) for x in np.split(level, ends[:-1])],
                                             pa.binary())})
 
     def order(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -157,7 +138,7 @@ def _digests(docs: DataFrame, key: str, text: str, n: int, percent: int) -> Data
         bucket = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
         levels = answers.column("levels").to_pylist()
         level = np.concatenate([np.zeros(0, np.uint8),
-                                *(_stretch(levels[i], np.uint8) for i in bucket)])
+                                *(unpack(levels[i], np.uint8)[0] for i in bucket)])
         _, place = np.unique(h >> shift, return_inverse=True)
         level = level[place]
         by = np.lexsort((h, level, doc))
@@ -210,8 +191,8 @@ def _verified(pairs: DataFrame, digests: DataFrame, n: int, percent: int) -> Dat
             keep = []
             for za, zb in zip(batch.column("za").to_pylist(), batch.column("zb").to_pylist()):
                 if zb != last:
-                    last, known = zb, shingle_sets([_unzip(zb)], n)[1]
-                mine = shingle_sets([_unzip(za)], n)[1]
+                    last, known = zb, shingle_sets([unzipped(zb)], n)[1]
+                mine = shingle_sets([unzipped(za)], n)[1]
                 both = len(np.intersect1d(mine, known, assume_unique=True))
                 keep.append(100 * both >= percent * (len(mine) + len(known) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))

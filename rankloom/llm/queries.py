@@ -71,3 +71,9 @@ def op8_quality(spark, sf_dir):
 def op2_jaccard_join(spark, sf_dir):
     from rankloom.llm.jaccard import jaccard_components
     return jaccard_components(documents(spark, sf_dir))
+
+
+@query
+def op1_substring_dedup(spark, sf_dir):
+    from rankloom.llm.substrings import remove_repeats
+    return remove_repeats(documents(spark, sf_dir))
