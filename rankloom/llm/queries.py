@@ -77,3 +77,9 @@ def op2_jaccard_join(spark, sf_dir):
 def op1_substring_dedup(spark, sf_dir):
     from rankloom.llm.substrings import remove_repeats
     return remove_repeats(documents(spark, sf_dir))
+
+
+@query
+def op5_line_dedup(spark, sf_dir):
+    from rankloom.llm.lines import line_report
+    return line_report(documents(spark, sf_dir))
