@@ -223,10 +223,10 @@ def decode(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") ->
     return rows.select(key, ids).mapInArrow(run, f"`{key}` {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, key: str = "doc_id",
-               text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of what they
-    decode to, in one pass without moving the ids."""
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
+               with_ids: bool = False) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256[, ids]): digests of the ids and of what they
+    decode to, in one pass."""
     raw = docs.sparkSession.sparkContext.broadcast(read(path))
 
     def sha(data: bytes) -> str:
@@ -237,13 +237,16 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id",
         for batch in batches:
             for a, b, texts in _texts(batch, text):
                 ids, joined = c.encode(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(key).slice(a, b - a),
-                     pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([sha(s.encode()) for s in joined]),
-                     pa.array([sha(c.decode(x).encode()) for x in ids])],
-                    [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+                out = {key: batch.column(key).slice(a, b - a),
+                       "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+                       "ids_sha256": pa.array([sha(s.encode()) for s in joined]),
+                       "decoded_sha256": pa.array([sha(c.decode(x).encode()) for x in ids])}
+                if with_ids:
+                    out["ids"] = pa.array([x.astype(np.int32) for x in ids],
+                                          pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+             + (", ids array<int>" if with_ids else ""))
