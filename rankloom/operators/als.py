@@ -17,12 +17,14 @@ from rankloom.operators.ratings import active_ratings
 from rankloom.operators.sampling import split_by_hash
 
 # The reference's ALS settings.
-RANK, MAX_ITER, REG_PARAM, BLOCKS, CHECKPOINT_INTERVAL = 15, 5, 0.1, 20, 2
+RANK, MAX_ITER, REG_PARAM, CHECKPOINT_INTERVAL = 15, 5, 0.1, 2
 TOP_USERS, TOP_ITEMS, SUBSET_CANDIDATES = 5, 5, 50
+RATINGS_PER_BLOCK = 1_000_000
+MIN_BLOCKS = 10      # Spark ML's own default
 
 
 def als_estimator(rank: int = RANK, max_iter: int = MAX_ITER, reg: float = REG_PARAM,
-                  blocks: int = BLOCKS, seed: int = 42,
+                  blocks: int = MIN_BLOCKS, seed: int = 42,
                   checkpoint_interval: int = CHECKPOINT_INTERVAL) -> ALS:
     return ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="userId", itemCol="itemId",
                ratingCol="rating", coldStartStrategy="drop", numUserBlocks=blocks,
@@ -50,8 +52,16 @@ def split_ratings(ratings: DataFrame, by: str = "row", seed: int = 42,
     return tr.drop("_k"), te.drop("_k")
 
 
+def blocks_for(ratings: int, parallelism: int) -> int:
+    """User and item blocks: a million ratings each, and enough for all cores."""
+    return max(MIN_BLOCKS, parallelism, -(-ratings // RATINGS_PER_BLOCK))
+
+
 def train_als(train: DataFrame, **params) -> ALSModel:
-    """Fit ALS on (userId, itemId, rating)."""
+    """Fit ALS on (userId, itemId, rating); ``blocks`` by default from the rating count."""
+    if params.get("blocks") is None:
+        params["blocks"] = blocks_for(train.count(),
+                                      train.sparkSession.sparkContext.defaultParallelism)
     return als_estimator(**params).fit(train.select("userId", "itemId", "rating"))
 
 

@@ -1,10 +1,9 @@
 """Item text: per-item documents, tokens and stop-word removal.
 
 Two shapes are offered.  ``item_documents`` is the classic one-row-per-item
-table with the concatenated text (what downstream tools read).  ``item_text_parts``
-keeps one row per review with the per-item statistics alongside; token and
-embedding work runs on it, so no task ever has to hold the whole text of a very
-popular item in one string.
+table with the concatenated text.  ``item_text_parts`` keeps one row per review;
+token and embedding work runs on it and aggregates numbers and vectors per item, so
+no task ever has to hold the texts of a very popular item.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 MIN_DOC_CHARS = 10
 
 # Spark ML's default English stop-word list (StopWordsRemover,
-# "english"), matched case-insensitively.  Kept here as text so SQL can use it.
+# "english"), as text for the SQL oracle; the operator loads Spark's own list.
 ENGLISH_STOP_WORDS = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his "
     "himself she her hers herself it its itself they them their theirs themselves what which "
@@ -47,12 +46,12 @@ def _texts(clean: DataFrame) -> DataFrame:
 def item_documents(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFrame:
     """(asin, combinedText, reviewCount, avgRating) for items with > ``min_chars`` chars.
 
-    Texts are joined with a space in (unixReviewTime, reviewerID, text) order, so
+    Texts are joined with a space in (unixReviewTime, reviewerID, md5 of text) order, so
     the document is the same on every run.  The length filter is computed from the
     parts (sum of lengths + separators) before the concatenation.
     """
     parts = _texts(clean)
-    ordered = F.array_sort(F.collect_list(F.struct("unixReviewTime", "reviewerID", "text")))
+    ordered = F.array_sort(F.collect_list(F.struct("unixReviewTime", "reviewerID", F.md5("text"), "text")))
     docs = parts.groupBy("asin").agg(
         F.concat_ws(" ", F.transform(ordered, lambda s: s["text"])).alias("combinedText"),
         F.count(F.lit(1)).alias("reviewCount"),
@@ -62,32 +61,18 @@ def item_documents(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFram
 
 
 def item_text_stats(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFrame:
-    """(asin, reviewCount, avgRating, docChars, lastPart) for items whose joined text
-    would be longer than ``min_chars``; ``lastPart`` is (time, reviewer, md5 of text)
-    of the final part in (time, reviewer, text) order.  One grouped aggregate with
-    partial aggregation; rows stay small (no text), so the table can be broadcast."""
-    order = F.struct("unixReviewTime", "reviewerID", "text")
-    key = F.struct("unixReviewTime", "reviewerID", F.md5("text").alias("h"))
-    stats = _texts(clean).groupBy("asin").agg(
+    """(asin, reviewCount, avgRating, docChars) for items whose joined text would be longer
+    than ``min_chars``.  One grouped aggregate over numbers: no text in any buffer."""
+    stats = _texts(clean).select("asin", "overall", F.length("text").alias("chars")).groupBy("asin").agg(
         F.count(F.lit(1)).alias("reviewCount"), F.avg("overall").alias("avgRating"),
-        (F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("docChars"),
-        F.max_by(key, order).alias("lastPart"))
+        (F.sum("chars") + F.count(F.lit(1)) - 1).alias("docChars"))
     return stats.filter(F.col("docChars") > min_chars)
 
 
-def item_text_parts(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFrame:
-    """One row per review text of items whose document would pass ``min_chars``:
-    (asin, unixReviewTime, reviewerID, text, reviewCount, avgRating, docChars, isLast).
-
-    ``isLast`` marks the final part in document order.  Per-item values come from
-    ``item_text_stats`` joined back on asin (AQE splits a skewed join partition).
-    """
-    joined = _texts(clean).join(item_text_stats(clean, min_chars), "asin")
-    is_last = ((F.col("lastPart.unixReviewTime") == F.col("unixReviewTime"))
-               & (F.col("lastPart.reviewerID") == F.col("reviewerID"))
-               & (F.col("lastPart.h") == F.md5("text")))
-    return joined.select("asin", "unixReviewTime", "reviewerID", "text", "reviewCount",
-                         "avgRating", "docChars", is_last.alias("isLast"))
+def item_text_parts(clean: DataFrame) -> DataFrame:
+    """One row per review text: (asin, unixReviewTime, reviewerID, overall, text).  Parts
+    stay where they were scanned; per-item figures are aggregated from numbers."""
+    return _texts(clean)
 
 
 def tokenizer(input_col: str, output_col: str) -> Tokenizer:
@@ -96,8 +81,8 @@ def tokenizer(input_col: str, output_col: str) -> Tokenizer:
 
 
 def stop_words_remover(input_col: str, output_col: str) -> StopWordsRemover:
-    return StopWordsRemover(inputCol=input_col, outputCol=output_col,
-                            stopWords=list(ENGLISH_STOP_WORDS), caseSensitive=False)
+    return StopWordsRemover(inputCol=input_col, outputCol=output_col, caseSensitive=False,
+                            stopWords=StopWordsRemover.loadDefaultStopWords("english"))
 
 
 def split_tokens(text, keep_trailing: bool = False) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankloom.operators.docs import split_tokens, stop_words_remover
+from rankloom.operators.skew import semi_join
 from rankloom.sources.models import fit_or_load
 
 # The reference's Word2Vec settings and document filters.
@@ -26,27 +27,47 @@ MIN_CHARS, MIN_REVIEWS, MIN_TOKENS = 50, 5, 3
 PROBE_WORDS = ("battery", "camera", "wireless")
 
 
-def part_tokens(parts: DataFrame, min_chars: int = MIN_CHARS,
-                min_reviews: int = MIN_REVIEWS) -> DataFrame:
-    """Stop-word-free tokens of every part of the items that qualify for embedding.
+def part_tokens(parts: DataFrame) -> DataFrame:
+    """Stop-word-free tokens of every part, with the numbers its item needs.
 
-    A part that is followed by more text keeps its trailing empty tokens (they
-    sit between words in the joined document); only the document's last part
-    drops them, as ``Tokenizer`` does for the whole document.
+    A document's tokens are its parts' tokens one after another, but for the empty
+    tokens that end it (``Tokenizer`` drops those).  Every part keeps them here and
+    counts them in ``endEmpties``: empty tokens add nothing to a vector sum, so an item
+    needs only the number of its last part.
     """
-    keep = (F.col("docChars") > min_chars) & (F.col("reviewCount") >= min_reviews)
-    raw = parts.filter(keep).withColumn(
-        "rawTokens", F.when(F.col("isLast"), split_tokens("text"))
-        .otherwise(split_tokens("text", keep_trailing=True)))
-    toks = stop_words_remover("rawTokens", "tokens").transform(raw)
-    return toks.select("asin", "reviewCount", "avgRating", "tokens",
-                       F.size("tokens").cast("long").alias("nTokens"))
+    blanks = F.length("text") - F.length(F.regexp_replace("text", r"\s+$", ""))
+    rows = parts.select(
+        "asin", "unixReviewTime", "reviewerID", F.md5("text").alias("partKey"), "overall",
+        F.length("text").alias("chars"),
+        # a part of white space alone (or nothing) is one empty token more
+        (blanks + F.when(blanks == F.length("text"), 1).otherwise(0)).cast("long").alias("endEmpties"),
+        split_tokens("text", keep_trailing=True).alias("rawTokens"))
+    toks = stop_words_remover("rawTokens", "tokens").transform(rows).drop("rawTokens")
+    return toks.withColumn("nTokens", F.size("tokens").cast("long"))
 
 
-def embeddable_parts(tokens: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """Parts of items whose whole token list has more than ``min_tokens`` tokens."""
-    sizes = tokens.groupBy("asin").agg(F.sum("nTokens").alias("docTokens"))
-    return tokens.join(sizes.filter(F.col("docTokens") > min_tokens), "asin")
+def _token_aggregates() -> list:
+    last = F.max_by("endEmpties", F.struct("unixReviewTime", "reviewerID", "partKey"))
+    return [F.count(F.lit(1)).alias("reviewCount"), F.avg("overall").alias("avgRating"),
+            (F.sum("chars") + F.count(F.lit(1)) - 1).alias("docChars"),
+            (F.sum("nTokens") - last).alias("docTokens")]
+
+
+def item_token_stats(tokens: DataFrame) -> DataFrame:
+    """(asin, reviewCount, avgRating, docChars, docTokens): numbers only are shuffled."""
+    return tokens.groupBy("asin").agg(*_token_aggregates())
+
+
+def embeddable_items(stats: DataFrame, min_chars: int = MIN_CHARS, min_reviews: int = MIN_REVIEWS,
+                     min_tokens: int = MIN_TOKENS) -> DataFrame:
+    """Items with enough text, reviews and tokens."""
+    return stats.filter((F.col("docChars") > min_chars) & (F.col("reviewCount") >= min_reviews)
+                        & (F.col("docTokens") > min_tokens))
+
+
+def embeddable_parts(tokens: DataFrame, items: DataFrame) -> DataFrame:
+    """Parts of the given items: the training sentences."""
+    return semi_join(tokens, items, "asin")
 
 
 def word2vec_estimator(vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT,
@@ -74,28 +95,37 @@ def word2vec_fit_or_load(path: str, parts: DataFrame, mode: str = "reuse", **par
     return fit_or_load(path, lambda: train_word2vec(parts, **params), Word2VecModel, mode)
 
 
-def item_embeddings(model: Word2VecModel, parts: DataFrame) -> DataFrame:
+def item_embeddings(model: Word2VecModel, tokens: DataFrame, **filters) -> DataFrame:
     """(asin, embedding array<double>, avgRating, reviewCount) per embeddable item.
 
     Each part's mean vector (the model's own transform) times its token count is
-    summed per item and divided by the item's token count.
+    summed per item, with the item's numbers in the same aggregation, and divided by
+    the item's token count: vectors and numbers are shuffled, never text.
     """
-    vec = model.transform(parts.select("asin", "tokens", "nTokens", "docTokens",
-                                       "avgRating", "reviewCount"))
+    vec = model.transform(tokens)
     scaled = array_to_vector(F.transform(vector_to_array("vector"),
                                          lambda x: x * F.col("nTokens").cast("double")))
-    agg = vec.groupBy("asin").agg(Summarizer.sum(scaled).alias("_s"), F.max("docTokens").alias("_n"),
-                                  F.max("avgRating").alias("avgRating"),
-                                  F.max("reviewCount").alias("reviewCount"))
-    emb = F.transform(vector_to_array("_s"), lambda x: x / F.col("_n").cast("double"))
-    return agg.select("asin", emb.alias("embedding"), "avgRating", "reviewCount")
+    agg = vec.withColumn("_v", scaled).drop("tokens", "vector").groupBy("asin").agg(
+        Summarizer.sum(F.col("_v")).alias("_s"), *_token_aggregates())
+    emb = F.transform(vector_to_array("_s"), lambda x: x / F.col("docTokens").cast("double"))
+    return embeddable_items(agg, **filters).select("asin", emb.alias("embedding"), "avgRating",
+                                                   "reviewCount")
+
+
+def probe_words(model: Word2VecModel, n: int = 3) -> list[str]:
+    """The reference's probe words that are in the vocabulary, else its first ``n`` words
+    that are not empty, by name."""
+    words = model.getVectors().filter(F.col("word") != "").select("word")
+    known = [r["word"] for r in words.filter(F.col("word").isin(list(PROBE_WORDS))).collect()]
+    return sorted(known) or [r["word"] for r in words.orderBy("word").limit(n).collect()]
 
 
-def synonyms(model: Word2VecModel, words=PROBE_WORDS, n: int = 5) -> DataFrame:
+def synonyms(model: Word2VecModel, words=None, n: int = 5) -> DataFrame:
     """(query, word, similarity) for the probe words that are in the vocabulary.
 
     ``findSynonyms`` raises for an unknown word, so the vocabulary is checked first.
     """
+    words = probe_words(model) if words is None else words
     vocab = model.getVectors().filter(F.col("word").isin(list(words))).select("word")
     found = sorted(r["word"] for r in vocab.collect())          # at most len(words) rows
     spark = model.getVectors().sparkSession

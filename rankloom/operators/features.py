@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.keys import hash_bucket
 from rankloom.functions.scoring import log_count, minmax_over
 from rankloom.functions.vectors import l2_norm
+from rankloom.operators.skew import lookup_join, semi_join
 
 # Feature list, defaults for missing joins, class weights, balance ratio.
 FEATURE_COLUMNS = ["alsScore", "w2vScore", "logItemPop", "logUserActivity", "itemAvgRating"]
@@ -27,28 +28,31 @@ def candidate_minmax(candidates: DataFrame, raw: str = "alsRawScore") -> DataFra
     return candidates.select("userId", "itemId", minmax_over(raw, "userId").alias("alsScore"))
 
 
+def item_features(items: DataFrame | None, popularity: DataFrame) -> DataFrame:
+    """(itemId, norm, itemAvgRating, itemReviewCount, itemRatingCount): one narrow row for
+    every item with a vector or a rating."""
+    if items is None:
+        return popularity.select("itemId", F.lit(None).cast("double").alias("norm"),
+                                 F.lit(None).cast("double").alias("itemAvgRating"),
+                                 F.lit(None).cast("long").alias("itemReviewCount"), "itemRatingCount")
+    own = items.select("itemId", F.when(F.col("embedding").isNotNull(), l2_norm("embedding")).alias("norm"),
+                       "itemAvgRating", "itemReviewCount")
+    return own.join(popularity, "itemId", "full")
+
+
 def candidate_features(scored: DataFrame, items: DataFrame | None, activity: DataFrame,
                        popularity: DataFrame) -> DataFrame:
     """Join item, user and popularity data to (userId, itemId, alsScore) and derive features.
 
-    ``items``: (itemId, embedding, itemAvgRating, itemReviewCount) or None.  The
-    joins are left joins; Spark broadcasts the item side when its measured size
-    allows, otherwise it shuffles on the key (AQE re-plans at runtime).
+    ``items``: (itemId, embedding, itemAvgRating, itemReviewCount) or None.  What an item
+    contributes is worked out once per item (``item_features``, a few numbers, no
+    vector), then joined in one join that AQE can split on hot items.
     """
-    out = scored
-    if items is not None:
-        out = out.join(items.select("itemId", "embedding", "itemAvgRating", "itemReviewCount"),
-                       "itemId", "left")
-    else:
-        out = (out.withColumn("embedding", F.lit(None).cast("array<double>"))
-               .withColumn("itemAvgRating", F.lit(None).cast("double"))
-               .withColumn("itemReviewCount", F.lit(None).cast("long")))
-    out = out.join(activity, "userId", "left").join(popularity, "itemId", "left")
+    out = lookup_join(scored, item_features(items, popularity), "itemId")
+    out = out.join(activity, "userId", "left")
     dc = F.lit(DEFAULT_COUNT).cast("long")
     return out.select(
-        "userId", "itemId", "alsScore",
-        F.when(F.col("embedding").isNull(), F.lit(0.0)).otherwise(l2_norm("embedding"))
-        .alias("w2vScore"),
+        "userId", "itemId", "alsScore", F.coalesce("norm", F.lit(0.0)).alias("w2vScore"),
         log_count(F.coalesce("itemRatingCount", dc)).alias("logItemPop"),
         log_count(F.coalesce("userRatingCount", dc)).alias("logUserActivity"),
         F.coalesce("itemAvgRating", F.lit(DEFAULT_AVG_RATING)).alias("itemAvgRating"),
@@ -59,8 +63,7 @@ def candidate_features(scored: DataFrame, items: DataFrame | None, activity: Dat
 
 def label_candidates(features: DataFrame, ratings: DataFrame, users: DataFrame) -> DataFrame:
     """label = 1.0 when the user rated the item (any rating, duplicates counted once)."""
-    rated = (ratings.select("userId", "itemId")
-             .join(users.select("userId"), "userId", "left_semi")
+    rated = (semi_join(ratings.select("userId", "itemId"), users, "userId")
              .distinct().withColumn("_hit", F.lit(1)))
     return (features.join(rated, ["userId", "itemId"], "left")
             .withColumn("label", F.when(F.col("_hit") == 1, F.lit(1.0)).otherwise(F.lit(0.0)))

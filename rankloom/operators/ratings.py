@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.operators.skew import semi_join
+
 # Activity thresholds.
 ALS_MIN_RATINGS = 5      # users with >= 5 ratings are trained on
 WARM_MIN_RATINGS = 6     # users with > 5 ratings are served as warm
@@ -45,11 +47,11 @@ def active_ratings(ratings: DataFrame, min_ratings: int = ALS_MIN_RATINGS,
     """Ratings of users with at least ``min_ratings`` complete ratings.
 
     Rows with a null or NaN field are dropped first.  The user filter is a
-    semi join against the aggregated counts (hot users are handled by the partial
-    aggregation and by AQE's skew split of the join), not a window over users.
+    semi join against the aggregated counts that AQE can split (``skew``), so a hot
+    user's rows do not meet in one task; there is no window over users.
     """
     base = ratings.select(F.col("userId").cast("int"), F.col("itemId").cast("int"),
                           F.col("rating").cast("float"), *(extra or [])).na.drop()
     keep = (user_activity(base).filter(F.col("userRatingCount") >= min_ratings)
             .select("userId"))
-    return base.join(keep, "userId", "left_semi")
+    return semi_join(base, keep, "userId")

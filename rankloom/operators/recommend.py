@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.scoring import TASTE_WEIGHTS, log_count, popularity_blend
 from rankloom.functions.vectors import dot, l2_norm
-from rankloom.operators.bounded import bounded_array, bounded_ids
+from rankloom.operators.bounded import bounded_array, bounded_blocks, bounded_ids
 from rankloom.operators.ratings import WARM_MIN_RATINGS, user_activity
 from rankloom.operators.sampling import sample_keys
+from rankloom.operators.skew import semi_join
 
 # Source tags, defaults for missing item data, pool and list sizes.
 SOURCE_WARM, SOURCE_COLD, SOURCE_FALLBACK = "als_gbt", "w2v_personalized", "popularity_fallback"
 DEFAULT_AVG_RATING = 3.0
 DEFAULT_COUNT = 1
 POOL_MIN_RATINGS, POOL_SIZE, TOP_K = 10, 1000, 10
+POOL_BLOCK = 1000        # pool items scored as one array
 REC_COLUMNS = ["userId", "itemId", "hybridScore", "alsScore", "w2vScore", "source", "rank"]
 
 
@@ -56,6 +58,9 @@ def item_vectors(item_emb: DataFrame, item_meta: DataFrame | None = None) -> Dat
     """
     emb = item_emb.select(F.col("itemId").cast("int"),
                           F.col("embedding").cast("array<double>").alias("embedding"))
+    # a vector with a null, NaN or infinite element counts as none
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    emb = emb.withColumn("embedding", F.when(~bad, F.col("embedding")))
     if item_meta is None:
         return (emb.withColumn("itemAvgRating", F.lit(DEFAULT_AVG_RATING))
                 .withColumn("itemReviewCount", F.lit(DEFAULT_COUNT).cast("long")))
@@ -83,8 +88,8 @@ def user_profiles(ratings: DataFrame, users: DataFrame, item_emb: DataFrame,
     tracked items the user rated, collected in the same aggregation (at most
     ``len(track_items)`` per user).
     """
-    rated = (ratings.select("userId", "itemId", F.col("rating").cast("double").alias("w"))
-             .join(users.select("userId"), "userId", "left_semi")
+    rated = (semi_join(ratings.select("userId", "itemId", F.col("rating").cast("double").alias("w")),
+                       users, "userId")
              .join(item_emb.select("itemId", "embedding").filter(F.col("embedding").isNotNull()),
                    "itemId"))
     weighted = array_to_vector(F.transform("embedding", lambda x: x * F.col("w")))
@@ -109,7 +114,8 @@ def candidate_pool(items: DataFrame, popularity: DataFrame, min_ratings: int = P
     (itemId, count) only; the vectors of the ≤ k winners are fetched afterwards
     with a broadcast of those ids, so no task ever gathers k vectors per partition.
     """
-    counted = (items.select("itemId").join(popularity, "itemId", "left")
+    counted = (items.filter(F.col("embedding").isNotNull()).select("itemId")
+               .join(popularity, "itemId", "left")
                .withColumn("itemRatingCount",
                            F.coalesce("itemRatingCount", F.lit(DEFAULT_COUNT).cast("long")))
                .filter(F.col("itemRatingCount") >= min_ratings))
@@ -157,7 +163,7 @@ def rank_within_user(df: DataFrame, score: str = "hybridScore", k: int = TOP_K,
 
 def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | None = None,
                    k: int = TOP_K, ties: bool = False, exclude_seen: bool = True,
-                   digits: int | None = None, max_pool: int = POOL_SIZE) -> DataFrame:
+                   digits: int | None = None, max_pool: int | None = None) -> DataFrame:
     """Top-``k`` pool items per profile user by the taste blend (source ``w2v_personalized``).
 
     score = cosine(profile, item)·0.60 + avgRating/5·0.25 + logPop/10·0.15.  Items the
@@ -166,9 +172,10 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
     ``ratings``.  ``digits`` rounds the score before ranking so that engines with
     different float summation agree.
 
-    The pool (≤ ``max_pool`` rows, checked) is attached to every profile row as one
-    array; scoring, exclusion and top-k are array functions on that row, so the
-    plan has no users × pool row explosion and no shuffle after the profiles.
+    The pool is attached to every profile row in blocks of ``POOL_BLOCK`` items, each
+    an array; a block's best k join the best of the others, all by array functions on
+    that row, so the plan has no users × pool row explosion and no shuffle after the
+    profiles, whatever the pool's size.  ``max_pool``, if given, is checked.
     """
     w_sim, w_rate, w_pop = TASTE_WEIGHTS
     # the item-only terms of the blend are computed once per pool item
@@ -176,7 +183,7 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
         "itemId", F.col("embedding").alias("emb"), l2_norm("embedding").alias("norm"),
         ((F.col("itemAvgRating") / F.lit(5.0)) * w_rate).alias("rate_part"),
         ((F.col("logItemPop") / F.lit(10.0)) * w_pop).alias("pop_part"))
-    pool_arr, ids = bounded_array(pool_rows, max_pool, "candidate pool", key="itemId")
+    blocks, ids = bounded_blocks(pool_rows, POOL_BLOCK, max_pool, "candidate pool", key="itemId")
     users = profiles.select("userId", "profile", l2_norm("profile").alias("_pn"),
                             *(["seen"] if "seen" in profiles.columns else []))
     if not exclude_seen:
@@ -202,8 +209,12 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
         return F.struct((-score).alias("neg"), p["itemId"].alias("itemId"),
                         score.alias("score"), p["norm"].alias("w2v"))
 
-    candidates = F.filter(pool_arr, lambda p: ~F.array_contains(seen_arr, p["itemId"]))
-    top = _top_k_array(F.transform(candidates, entry), k, ties)
+    best = [F.transform(_top_k_array(F.transform(
+        F.filter(block, lambda p: ~F.array_contains(seen_arr, p["itemId"])), entry), k, ties),
+        lambda t: t["e"]) for block in blocks]
+    if not best:
+        return _no_recs(users.sparkSession)
+    top = _top_k_array(F.concat(*best) if len(best) > 1 else best[0], k, ties)
     return (users.select("userId", F.explode(top).alias("t"))
             .select("userId", F.col("t.e.itemId").alias("itemId"),
                     F.col("t.e.score").alias("hybridScore"), F.lit(0.0).alias("alsScore"),
@@ -211,8 +222,14 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
                     F.col("t.rank").cast("int").alias("rank")))
 
 
-def pool_ids(pool: DataFrame, max_pool: int = POOL_SIZE) -> list:
-    """The item ids of a candidate pool (bounded, checked)."""
+def _no_recs(spark) -> DataFrame:
+    return spark.createDataFrame([], "userId int, itemId int, hybridScore double, alsScore double, "
+                                     "w2vScore double, source string, rank int")
+
+
+def pool_ids(pool: DataFrame, max_pool: int | None = None) -> list:
+    """The item ids of a candidate pool (at most the k it was made with; ``max_pool``, if
+    given, is checked)."""
     return bounded_ids(pool, "itemId", max_pool, "candidate pool")
 
 
@@ -243,9 +260,11 @@ def popularity_top(popularity: DataFrame, items: DataFrame | None, k: int = TOP_
 
 def recommend_fallback(users: DataFrame, top: DataFrame, k: int = TOP_K,
                        ties: bool = False) -> DataFrame:
-    """Every user gets the same global list ``top`` (source ``popularity_fallback``)."""
-    arr, _ = bounded_array(top.select(F.col("hybridScore").alias("score"), "itemId",
-                                      F.col("w2vScore").alias("w2v")), k, "popularity top list")
+    """Every user gets the best k of the global list ``top`` (source ``popularity_fallback``)."""
+    head = top.orderBy(F.desc("hybridScore"), F.asc("itemId")).limit(POOL_SIZE if ties else k)
+    arr, _ = bounded_array(head.select(F.col("hybridScore").alias("score"), "itemId",
+                                       F.col("w2vScore").alias("w2v")), POOL_SIZE,
+                           "popularity top list")
     entries = F.transform(arr, lambda e: F.struct((-e["score"]).alias("neg"), e["itemId"].alias("itemId"),
                                                   e["score"].alias("score"), e["w2v"].alias("w2v")))
     ranked = _top_k_array(entries, k, ties)

@@ -56,8 +56,9 @@ def coverage_report(recs: DataFrame, sampled: DataFrame, ratings: DataFrame) ->
 
 
 def path_coverage(recs: DataFrame, users: DataFrame, source: str) -> DataFrame:
-    """(source, usersServed, usersTargeted) for one path."""
-    served = recs.filter(F.col("source") == source).agg(F.countDistinct("userId").alias("usersServed"))
+    """(source, usersServed, usersTargeted) for one path: of the targeted ``users``."""
+    served = (recs.filter(F.col("source") == source).join(users.select("userId"), "userId", "left_semi")
+              .agg(F.countDistinct("userId").alias("usersServed")))
     target = users.agg(F.countDistinct("userId").alias("usersTargeted"))
     return _fold(served, target).select(F.lit(source).alias("source"), "usersServed", "usersTargeted")
 
@@ -77,24 +78,26 @@ def rec_preview(recs: DataFrame, source: str = "w2v_personalized", max_rank: int
             .orderBy("userId", "rank", "itemId").limit(n))
 
 
-def dataset_counts(ratings: DataFrame, activity: DataFrame) -> DataFrame:
-    """Row, user and item counts and the activity segments in one row."""
-    r = ratings.agg(F.count(F.lit(1)).alias("totalRatings"),
-                    F.countDistinct("userId").alias("totalUsers"),
-                    F.countDistinct("itemId").alias("totalItems"))
+def dataset_counts(activity: DataFrame, popularity: DataFrame) -> DataFrame:
+    """Row, user and item counts and the activity segments in one row, from the two tables
+    of counts (one row per user, one per item): no distinct count over the ratings."""
     n = F.col("userRatingCount")
-    a = activity.agg(F.count_if(n <= COLD_MAX).alias("coldUsers"),
+    r = popularity.filter(F.col("itemId").isNotNull()).agg(F.count(F.lit(1)).alias("totalItems"))
+    a = activity.agg(F.coalesce(F.sum(n), F.lit(0)).alias("totalRatings"),
+                     F.count("userId").alias("totalUsers"),
+                     F.count_if(n <= COLD_MAX).alias("coldUsers"),
                      F.count_if(n > COLD_MAX).alias("warmUsers"),
                      F.count_if(n > POWER_MIN).alias("powerUsers"))
-    return _fold(r, a)
+    return _fold(r, a).select("totalRatings", "totalUsers", "totalItems", "coldUsers",
+                              "warmUsers", "powerUsers")
 
 
-def dataset_stats(ratings: DataFrame, activity: DataFrame, recs: DataFrame) -> DataFrame:
+def dataset_stats(activity: DataFrame, popularity: DataFrame, recs: DataFrame) -> DataFrame:
     """Dashboard numbers: totals, users with recs, coverage %, segment counts.
 
     ``warmUsers`` counts every user above the cold cut, power users included.
     """
-    base = dataset_counts(ratings, activity)
+    base = dataset_counts(activity, popularity)
     served = recs.agg(F.countDistinct("userId").alias("usersWithRecs"))
     out = _fold(base, served)
     return out.select("totalUsers", "totalItems", "totalRatings", "usersWithRecs",
@@ -144,17 +147,22 @@ def lookup_recs(requests: DataFrame, recs: DataFrame, activity: DataFrame,
     """Answer a batch of lookups: ``requests`` (userId[, n]) → one row per returned
     recommendation, or one row with ``found = false`` when the user has none.
 
-    n is clamped to 1..10 (default 10); a user's list is their best n rows by rank.
+    n is clamped to 1..10 (default 10); a user's list is their rows with rank <= n.  Only the
+    recommendations of requested users are enriched, and their lists are cut by the stored
+    rank, without a window.
     """
     req = requests.select(
         "userId", clamp(F.coalesce(F.col("n") if "n" in requests.columns else F.lit(None),
                                    F.lit(DEFAULT_N)), MIN_N, MAX_N).alias("topN"))
-    w = Window.partitionBy("userId").orderBy("rank", "itemId")
-    # one window pass: position in the user's list and the source of its first row
-    ranked = (enrich_recs(recs, item_index, item_meta)
-              .withColumn("_pos", F.row_number().over(w))
-              .withColumn("userSource", F.first("source").over(w)))
-    hits = req.join(ranked, "userId", "left").filter(F.col("_pos").isNull() | (F.col("_pos") <= F.col("topN")))
+    wanted = recs.join(req.select("userId").distinct(), "userId", "left_semi").filter(
+        F.col("rank") <= MAX_N)
+    listed = enrich_recs(wanted, item_index, item_meta)
+    # the source a user is served by: that of the first row (a user's rows share it)
+    first = (wanted.filter(F.col("rank") == 1).groupBy("userId")
+             .agg(F.min_by("source", "itemId").alias("userSource")))
+    own = listed.withColumnRenamed("userId", "_u")
+    hits = (req.join(own, (F.col("userId") == F.col("_u")) & (F.col("rank") <= F.col("topN")), "left")
+            .join(first, "userId", "left"))
     out = hits.join(activity.select("userId", "userRatingCount"), "userId", "left")
     found = F.col("itemId").isNotNull()
     count = F.coalesce("userRatingCount", F.lit(0)).cast("long")

@@ -48,8 +48,8 @@ def run_als(spark, a) -> dict:
     ratings = read_table(spark, f"{a.data}/ratings")
     st = TR.als_stage(ratings, seed=a.seed)
     save_model(st.model, f"{a.models}/als")
-    write_table(st.predictions, f"{a.data}/als_predictions", files=50)
-    write_table(A.user_topk(st.model), f"{a.data}/als_user_topk", files=20)
+    write_table(st.predictions, f"{a.data}/als_predictions")
+    write_table(A.user_topk(st.model), f"{a.data}/als_user_topk")
     rep = rmse_report(read_table(spark, f"{a.data}/als_predictions")).first()
     return {"stage": "als", **rep.asDict()}
 
@@ -77,7 +77,8 @@ def run_recommend(spark, a) -> dict:
     items = read_table(spark, f"{a.data}/item_vectors")
     out = RG.generate(ratings, items, ALSModel.load(f"{a.models}/als"),
                       GBTClassificationModel.load(f"{a.models}/ranker"), seed=a.seed,
-                      sample_size=a.sample, route_uncovered=a.route_uncovered)
+                      sample_size=a.sample, route_uncovered=a.route_uncovered,
+                      exclude_seen=a.exclude_seen, ties=a.ties)
     write_table(out["recs"], f"{a.out}/recommendations", sort_by=["userId", "rank"])
     RG.release(out)
     recs = read_table(spark, f"{a.out}/recommendations")
@@ -102,20 +103,22 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--models", help="folder of saved models")
     p.add_argument("--out", help="folder for recommendations")
     p.add_argument("--partitions", type=int, default=None)
-    p.add_argument("--sample", type=int, default=RG.SAMPLE_USERS)
-    p.add_argument("--all-users", action="store_true", help="recommend for every user (no sample)")
+    p.add_argument("--sample", type=int, default=None,
+                   help="recommend for this many users only (default: every user)")
+    p.add_argument("--exclude-seen", action="store_true",
+                   help="drop items a warm user rated already")
+    p.add_argument("--ties", action="store_true", help="plain rank(): ties may exceed k")
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--mode", choices=["reuse", "retrain"], default="retrain")
     p.add_argument("--joined-docs", action="store_true")
     p.add_argument("--previous", help="earlier --data folder whose id indexes are extended")
-    p.add_argument("--route-uncovered", action="store_true")
+    p.add_argument("--no-route-uncovered", dest="route_uncovered", action="store_false",
+                   help="leave warm users unknown to ALS without recommendations")
     return p
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     a = parser().parse_args(argv)
-    if a.all_users:
-        a.sample = None
     spark = spark or SparkSession.builder.appName(f"rankloom-{a.stage}").getOrCreate()
     ensure_checkpoint_dir(spark)
     result = STAGES[a.stage](spark, a)

@@ -97,6 +97,11 @@ class Fixture:
         from rankloom.operators.index import build_index
         return build_index(self.clean, "asin", "itemIndex")
 
+    @cached_property
+    def item_stats(self) -> DataFrame:
+        from rankloom.operators.docs import item_text_stats
+        return item_text_stats(self.clean)
+
     @cached_property
     def docs(self) -> DataFrame:
         from rankloom.operators.docs import item_documents

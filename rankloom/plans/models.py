@@ -23,6 +23,7 @@ from rankloom.operators.ratings import WARM_MIN_RATINGS, item_popularity, user_a
 from rankloom.operators.sampling import sample_keys
 from rankloom.plans import preprocess as PP
 from rankloom.plans.fixture import Fixture
+from rankloom.plans.train import RANKER_CANDIDATES, RANKER_USERS
 from rankloom.session import shared_path
 from rankloom.sources.models import fit_or_load
 
@@ -56,11 +57,16 @@ class Fitted:
 
     @cached_property
     def parts(self) -> DataFrame:
-        return EM.embeddable_parts(EM.part_tokens(self.tables["item_parts"])).cache()
+        return EM.part_tokens(self.tables["item_parts"])
+
+    @cached_property
+    def sentences(self) -> DataFrame:
+        items = EM.embeddable_items(EM.item_token_stats(self.parts))
+        return EM.embeddable_parts(self.parts, items)
 
     @cached_property
     def w2v(self):
-        return EM.word2vec_fit_or_load(f"{self.base}/word2vec", self.parts)
+        return EM.word2vec_fit_or_load(f"{self.base}/word2vec", self.sentences)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -72,11 +78,11 @@ class Fitted:
     @cached_property
     def ranker_users(self) -> DataFrame:
         warm = self.activity.filter(F.col("userRatingCount") >= WARM_MIN_RATINGS)
-        return sample_keys(warm, "userId", 200_000)
+        return sample_keys(warm, "userId", RANKER_USERS)
 
     @cached_property
     def training(self) -> DataFrame:
-        cands = A.candidates_for(self.als, self.ranker_users, 50)
+        cands = A.candidates_for(self.als, self.ranker_users, RANKER_CANDIDATES)
         feats = FE.candidate_features(FE.candidate_minmax(cands), self.items, self.activity,
                                       self.popularity)
         labeled = FE.label_candidates(feats, self.ratings, self.ranker_users).checkpoint(eager=True)

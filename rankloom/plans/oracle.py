@@ -42,11 +42,22 @@ CTES: dict[str, str] = {
             "FROM (SELECT DISTINCT reviewerID FROM clean) k",
     "iidx": "SELECT asin, CAST(rank() OVER (ORDER BY asin) - 1 AS BIGINT) AS itemIndex "
             "FROM (SELECT DISTINCT asin FROM clean) k",
-    "docs": "SELECT asin, string_agg(text, ' ' ORDER BY unixReviewTime, reviewerID, text) AS combinedText, "
+    "docs": "SELECT asin, string_agg(text, ' ' ORDER BY unixReviewTime, reviewerID, md5(text)) AS combinedText, "
             "count(*) AS reviewCount, avg(overall) AS avgRating "
             "FROM (SELECT asin, unixReviewTime, reviewerID, overall, COALESCE(reviewText, summary) AS text "
             "FROM clean WHERE reviewText IS NOT NULL OR summary IS NOT NULL) t "
             "GROUP BY asin HAVING sum(length(text)) + count(*) - 1 > 10",
+    "parts": "SELECT asin, unixReviewTime, reviewerID, md5(text) AS partKey, overall, text, "
+             "length(text) AS chars, string_split_regex(lower(text), '\\s') AS raw, "
+             "length(text) - length(regexp_replace(text, '\\s+$', '')) AS blanks "
+             "FROM (SELECT *, COALESCE(reviewText, summary) AS text FROM clean) c WHERE text IS NOT NULL",
+    "ptok": f"SELECT *, list_filter(raw, lambda x: NOT list_contains({STOP_LIST}, x)) AS tk, "
+            "CAST(blanks + CASE WHEN blanks = chars THEN 1 ELSE 0 END AS BIGINT) AS endEmpties FROM parts",
+    "tstat": "SELECT asin, count(*) AS reviewCount, avg(overall) AS avgRating, "
+             "CAST(sum(chars) + count(*) - 1 AS BIGINT) AS docChars, "
+             "CAST(sum(len(tk)) - max_by(endEmpties, {'t': unixReviewTime, 'r': reviewerID, 'k': partKey}) "
+             "AS BIGINT) AS docTokens FROM ptok GROUP BY asin",
+    "embi": "SELECT * FROM tstat WHERE docChars > 50 AND reviewCount >= 5 AND docTokens > 3",
     "act": "SELECT userId, count(*) AS userRatingCount FROM ratings GROUP BY userId",
     "pop": "SELECT itemId, count(*) AS itemRatingCount FROM ratings GROUP BY itemId",
     "active": "SELECT userId, itemId, rating FROM ratings WHERE userId IN ("
@@ -118,8 +129,9 @@ FROM feats f LEFT JOIN (SELECT DISTINCT userId, itemId, 1 AS hit FROM ratings
        CAST(0.0 AS DOUBLE) AS w2vScore, 'als_gbt' AS source,
        CAST(row_number() OVER (PARTITION BY c.userId ORDER BY c.alsRawScore DESC, c.itemId) AS INT) AS rank
 FROM candidates c JOIN mm m USING (userId, itemId)""",
-    "samp": f"SELECT userId FROM (SELECT DISTINCT userId FROM ratings) k "
-            f"ORDER BY {md5key('userId')}, userId LIMIT 1000",
+    "samp": f"SELECT userId FROM (SELECT userId, row_number() OVER (ORDER BY {md5key('userId')}, userId) "
+            f"AS n, count(*) OVER () AS total FROM (SELECT DISTINCT userId FROM ratings) k) t "
+            f"WHERE n <= total // 10",
     "enr": """SELECT r.userId, r.rank, r.itemId,
        COALESCE(x.asin, 'UNKNOWN_' || CAST(r.itemId AS VARCHAR)) AS asin,
        round(r.hybridScore, 4) AS hybridScore, round(r.alsScore, 4) AS alsScore,
@@ -183,6 +195,14 @@ FROM reviews"""),
        CAST(c.overall AS FLOAT) AS rating, c.unixReviewTime AS timestamp
 FROM clean c JOIN uidx u USING (reviewerID) JOIN iidx i USING (asin)"""),
     "item_documents": sql(f"SELECT asin, combinedText, reviewCount, {r6('avgRating')} FROM docs"),
+    "item_text_stats": sql(f"SELECT asin, reviewCount, {r6('avgRating')}, docChars FROM tstat WHERE docChars > 10"),
+    "part_tokens": sql("SELECT asin, unixReviewTime, reviewerID, partKey, CAST(len(tk) AS BIGINT) AS nTokens, "
+                       "endEmpties, array_to_string(tk, ' ') AS tokensText FROM ptok"),
+    "embeddable_items": sql(f"SELECT asin, reviewCount, {r6('avgRating')}, docChars, docTokens FROM embi"),
+    "embeddable_parts": sql("SELECT asin, partKey, CAST(len(tk) AS BIGINT) AS nTokens FROM ptok "
+                            "WHERE asin IN (SELECT asin FROM embi)"),
+    "index_extension": sql("""SELECT asin, CAST(row_number() OVER (ORDER BY even DESC, asin) - 1 AS BIGINT) AS itemIndex
+FROM (SELECT DISTINCT asin, asin[-1] IN ('0', '2', '4', '6', '8') AS even FROM clean) k"""),
     "item_tokens": sql(f"""SELECT asin, CAST(len(tk) AS BIGINT) AS tokenCount, array_to_string(tk, ' ') AS tokensText
 FROM (SELECT asin, {TOKENS.format('combinedText')} AS tk FROM docs) t"""),
     "item_tokens_nostop": sql(f"""SELECT asin, CAST(len(tk) AS BIGINT) AS tokenCount, array_to_string(tk, ' ') AS tokensText
@@ -242,6 +262,8 @@ FROM (SELECT count(*) AS n,
     # sampling and segments
     "sample_users": sql("SELECT * FROM samp"),
     "segment_users": sql("SELECT * FROM seg"),
+    "segment_users_sampled": sql("SELECT * FROM seg WHERE userId IN (SELECT userId FROM samp)"),
+    "users_without_recs": sql("SELECT count(*) AS users, CAST(0 AS BIGINT) AS without FROM act"),
     "train_test_split": sql(f"""SELECT userId, itemId, rating,
        CASE WHEN {hb('userId', 42, 10000)} < 8000 THEN 'train' ELSE 'test' END AS split FROM active"""),
     # recommendation paths
@@ -260,9 +282,8 @@ FROM recs GROUP BY source"""),
     "coverage_report": sql("""SELECT totalRecs, usersWithRecs, sampledUsers, totalUsers,
        round(COALESCE(CAST(usersWithRecs AS DOUBLE) * 100.0 / NULLIF(sampledUsers, 0), 0.0), 6) AS coverageSampledPct,
        round(COALESCE(CAST(usersWithRecs AS DOUBLE) * 100.0 / NULLIF(totalUsers, 0), 0.0), 6) AS coverageAllPct
-FROM (SELECT count(*) AS totalRecs, count(DISTINCT userId) AS usersWithRecs FROM recs
-      WHERE userId IN (SELECT userId FROM samp)) a,
-     (SELECT count(DISTINCT userId) AS sampledUsers FROM samp) b,
+FROM (SELECT count(*) AS totalRecs, count(DISTINCT userId) AS usersWithRecs FROM recs) a,
+     (SELECT count(DISTINCT userId) AS sampledUsers FROM seg) b,
      (SELECT count(DISTINCT userId) AS totalUsers FROM ratings) c"""),
     "personalization": sql("""SELECT uniqueTopItems, usersWithRecs,
        round(COALESCE(CAST(uniqueTopItems AS DOUBLE) * 100.0 / NULLIF(usersWithRecs, 0), 0.0), 6)
@@ -310,7 +331,8 @@ LEFT JOIN (SELECT userId, source AS userSource FROM
            WHERE pos = 1) f ON f.userId = q.userId
 LEFT JOIN act a ON a.userId = q.userId"""),
     "path_coverage": sql("""SELECT 'w2v_personalized' AS source,
-       (SELECT count(DISTINCT userId) FROM recs WHERE source = 'w2v_personalized') AS usersServed,
+       (SELECT count(DISTINCT userId) FROM recs WHERE source = 'w2v_personalized'
+        AND userId IN (SELECT userId FROM cold)) AS usersServed,
        (SELECT count(DISTINCT userId) FROM cold) AS usersTargeted"""),
     "sample_users_by_segment": sql(f"""SELECT segment, userId, userRatingCount FROM (
   SELECT *, row_number() OVER (PARTITION BY segment ORDER BY {md5key('userId')}, userId) AS rn FROM (

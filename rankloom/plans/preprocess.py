@@ -18,8 +18,7 @@ def preprocess(raw: DataFrame, previous_users: DataFrame | None = None,
     keys keep their ids and new keys are numbered after the current maximum, so
     models trained on earlier ids stay valid.
 
-    ``item_parts`` (one row per review text, with per-item statistics) is what the
-    embedding stage reads; ``item_stats`` carries the per-item numbers served to
+    ``item_parts`` (one row per review text) is what the embedding stage reads; ``item_stats`` carries the per-item numbers served to
     users.  ``item_docs`` (one concatenated string per item) is available for
     consumers that need the joined text; a very popular item makes it one huge row,
     so the plan writes it only when asked.
@@ -35,24 +34,20 @@ def preprocess(raw: DataFrame, previous_users: DataFrame | None = None,
         "item_index": items,
         "ratings": build_ratings(clean, users, items),
         "item_parts": item_text_parts(clean),
-        "item_stats": item_text_stats(clean).drop("lastPart"),
+        "item_stats": item_text_stats(clean),
         "item_docs": item_documents(clean),
     }
 
 
-# Output part counts of the reference's tables.
-OUTPUT_FILES = {"ratings": 100, "item_parts": 50, "item_stats": 10, "user_index": 10,
-                "item_index": 10}
+TABLES = ("ratings", "item_parts", "item_stats", "user_index", "item_index")
 
 
 def write_preprocessed(tables: dict[str, DataFrame], out_dir: str,
                        files: dict[str, int] | None = None, joined_docs: bool = False) -> None:
-    """Write the stage-1 tables as parquet folders under ``out_dir``."""
-    plan = dict(files or OUTPUT_FILES)
-    if joined_docs:
-        plan["item_docs"] = 50
-    for name, n in plan.items():
-        write_table(tables[name], f"{out_dir}/{name}", files=n)
+    """Write the stage-1 tables as parquet folders under ``out_dir``, in as many parts as
+    the plans have (AQE sizes them); ``files`` asks for part counts by table."""
+    for name in (*TABLES, "item_docs") if joined_docs else TABLES:
+        write_table(tables[name], f"{out_dir}/{name}", files=(files or {}).get(name))
 
 
 def run_preprocess(raw: DataFrame, out_dir: str, files: dict[str, int] | None = None,

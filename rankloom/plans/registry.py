@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.vectors import cosine, dot, l2_norm
+from rankloom.operators import als as A
 from rankloom.operators import clean as CL
 from rankloom.operators import docs as D
+from rankloom.operators import embed as EM
 from rankloom.operators import features as FE
+from rankloom.operators import index as IX
 from rankloom.operators import ratings as R
 from rankloom.operators import recommend as REC
 from rankloom.operators import report as RP
@@ -27,7 +30,7 @@ from rankloom.sources import read_reviews, read_table, write_table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SAMPLE_USERS = 1000      # sampling operator size used by the sampling checks
+SAMPLE_SHARE = 10        # the sampling checks draw a tenth of the users
 
 
 def query(fn):
@@ -81,6 +84,51 @@ def item_documents(fx):
     return rounded(fx.docs)
 
 
+@query
+def item_text_stats(fx):
+    return rounded(fx.item_stats)
+
+
+@query
+def part_tokens(fx):
+    """Every review's stop-word-free tokens, and how many empty ones end it."""
+    toks = EM.part_tokens(D.item_text_parts(fx.clean))
+    return toks.select("asin", "unixReviewTime", "reviewerID", "partKey", "nTokens", "endEmpties",
+                       F.array_join("tokens", " ").alias("tokensText"))
+
+
+@query
+def embeddable_items(fx):
+    toks = EM.part_tokens(D.item_text_parts(fx.clean))
+    return rounded(EM.embeddable_items(EM.item_token_stats(toks)))
+
+
+@query
+def embeddable_parts(fx):
+    """The sentences Word2Vec is trained on."""
+    toks = EM.part_tokens(D.item_text_parts(fx.clean))
+    items = EM.embeddable_items(EM.item_token_stats(toks))
+    return EM.embeddable_parts(toks, items).select("asin", "partKey", "nTokens")
+
+
+@query
+def index_extension(fx):
+    """Item ids extended: keys of valid reviews by odd items keep ids given to even ones."""
+    even = fx.clean.filter(F.substring("asin", -1, 1).isin("0", "2", "4", "6", "8"))
+    return IX.extend_index(IX.build_index(even, "asin", "itemIndex"), fx.clean, "asin", "itemIndex")
+
+
+@query
+def split_by_time(fx):
+    """Active ratings split at the 0.8 quantile of time: rows of each side and its bounds."""
+    active = R.active_ratings(fx.ratings, extra=["timestamp"])
+    train, test = A.split_ratings(active, by="time")
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumn("split", F.lit("test"))).groupBy("split").agg(
+                F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("lo"),
+                F.max("timestamp").alias("hi")))
+
+
 @query
 def item_tokens(fx):
     toks = D.item_tokens(fx.docs)
@@ -115,7 +163,7 @@ def active_ratings(fx):
 
 @query
 def dataset_counts(fx):
-    return RP.dataset_counts(fx.ratings, fx.activity)
+    return RP.dataset_counts(fx.activity, fx.popularity)
 
 
 @query
@@ -208,7 +256,8 @@ def rmse_report(fx):
 
 @query
 def sample_users(fx):
-    return S.sample_keys(fx.ratings, "userId", SAMPLE_USERS)
+    n = fx.ratings.select("userId").distinct().count() // SAMPLE_SHARE
+    return S.sample_keys(fx.ratings, "userId", n)
 
 
 @query
@@ -216,6 +265,13 @@ def segment_users(fx):
     return fx.segments
 
 
+@query
+def segment_users_sampled(fx):
+    """Segments of a repeatable tenth of the users."""
+    n = fx.ratings.select("userId").distinct().count() // SAMPLE_SHARE
+    return REC.segment_users(fx.ratings, n, activity=fx.activity)
+
+
 @query
 def train_test_split(fx):
     train, test = S.split_by_hash(R.active_ratings(fx.ratings), "userId")
@@ -239,9 +295,18 @@ def _no_profile(fx):
     return REC.users_without_profile(fx.cold_users, fx.profiles)
 
 
+def _top(fx):
+    return REC.popularity_top(fx.popularity, fx.items, digits=DIGITS)
+
+
+def _unreached(fx):
+    """Cold users without a profile or with every pool item seen."""
+    reachable = fx.profiles_seen.filter(F.size("seen") < len(REC.pool_ids(fx.pool)))
+    return REC.users_without_profile(fx.cold_users, reachable)
+
+
 def _fallback(fx):
-    top = REC.popularity_top(fx.popularity, fx.items, digits=DIGITS)
-    return REC.recommend_fallback(_no_profile(fx), top)
+    return REC.recommend_fallback(_no_profile(fx), _top(fx))
 
 
 @query
@@ -274,6 +339,16 @@ def combine_paths(fx):
     return rounded(REC.combine(_warm_standin(fx), cold, _fallback(fx)))
 
 
+@query
+def users_without_recs(fx):
+    """Users in no path's result, of all rated users (none is expected)."""
+    recs = REC.combine(_warm_standin(fx), REC.recommend_cold(fx.profiles_seen, fx.pool, digits=DIGITS),
+                       REC.recommend_fallback(_unreached(fx), _top(fx)))
+    lost = fx.activity.join(recs.select("userId").distinct(), "userId", "left_anti")
+    return RP._fold(fx.activity.agg(F.count(F.lit(1)).alias("users")),
+                    lost.agg(F.count(F.lit(1)).alias("without")))
+
+
 # ------------------------------------------------------------ reports
 
 @query
@@ -283,9 +358,9 @@ def source_breakdown(fx):
 
 @query
 def coverage_report(fx):
-    sampled = S.sample_keys(fx.ratings, "userId", SAMPLE_USERS)
-    recs = fx.view("recs").join(sampled, "userId", "left_semi")
-    return rounded(RP.coverage_report(recs, sampled, fx.ratings))
+    """Totals and coverage over all users."""
+    return rounded(RP.coverage_report(fx.view("recs"), fx.cold_users.unionByName(fx.warm_users),
+                                      fx.ratings))
 
 
 @query
@@ -300,7 +375,7 @@ def rec_preview(fx):
 
 @query
 def dataset_stats(fx):
-    return rounded(RP.dataset_stats(fx.ratings, fx.activity, fx.view("recs")))
+    return rounded(RP.dataset_stats(fx.activity, fx.popularity, fx.view("recs")))
 
 
 @query
@@ -310,7 +385,7 @@ def segment_share(fx):
 
 @query
 def enrich_recs(fx):
-    return rounded(RP.enrich_recs(fx.view("recs"), fx.item_index, fx.docs))
+    return rounded(RP.enrich_recs(fx.view("recs"), fx.item_index, fx.item_stats))
 
 
 @query
@@ -323,7 +398,7 @@ def lookup_recs(fx):
     """Requests: every customer id as a user id, n = custkey % 12 (0 and 11 get clamped)."""
     req = fx.view("customer").select(F.col("c_custkey").cast("int").alias("userId"),
                                      (F.col("c_custkey") % 12).cast("int").alias("n"))
-    out = RP.lookup_recs(req, fx.view("recs"), fx.activity, fx.item_index, fx.docs)
+    out = RP.lookup_recs(req, fx.view("recs"), fx.activity, fx.item_index, fx.item_stats)
     # integer columns that are null for not-found rows are compared as doubles
     return rounded(out.select(*[F.col(c).cast("double").alias(c)
                                 if c in ("ratingCount", "rank", "itemId", "reviewCount") else c
@@ -447,9 +522,8 @@ def lookup_stream(fx):
     req = fx.view("customer").select(F.col("c_custkey").cast("int").alias("userId"),
                                      (F.col("c_custkey") % 12).cast("int").alias("n"))
     req.repartition(4).write.parquet(f"{base}/requests")
-    out = run_lookup_stream(fx.spark, f"{base}/requests", fx.view("recs"), fx.activity,
-                            f"{base}/checkpoint", fx.item_index, fx.docs,
-                            table=f"lookup_{uuid.uuid4().hex[:8]}")
+    out = run_lookup_stream(fx.spark, f"{base}/requests", f"{base}/answers", f"{base}/checkpoint",
+                            fx.view("recs"), fx.activity, fx.item_index, fx.item_stats)
     return rounded(out.select(*[F.col(c).cast("double").alias(c)
                                 if c in ("ratingCount", "rank", "itemId", "reviewCount") else c
                                 for c in out.columns]))

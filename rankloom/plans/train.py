@@ -28,16 +28,19 @@ class AlsStage:
 
 def als_stage(ratings: DataFrame, seed: int = 42, **params) -> AlsStage:
     model, _, test = A.fit_active(ratings, seed=seed, **params)
-    preds = A.predict(model, test)
+    # evaluated and written by the caller: predicted once, kept in the shared folder
+    ensure_checkpoint_dir(ratings.sparkSession)
+    preds = A.predict(model, test).checkpoint(eager=True)
     return AlsStage(model, preds, A.rmse(preds))
 
 
 def embedding_stage(item_parts: DataFrame, item_index: DataFrame, model_path: str | None = None,
                     mode: str = "retrain", **params):
     """Word2Vec fit (or reuse) → item vectors keyed by itemId."""
-    toks = EM.embeddable_parts(EM.part_tokens(item_parts)).cache()
-    model = (EM.word2vec_fit_or_load(model_path, toks, mode, **params) if model_path
-             else EM.train_word2vec(toks, **params))
+    toks = EM.part_tokens(item_parts)
+    sentences = EM.embeddable_parts(toks, EM.embeddable_items(EM.item_token_stats(toks)))
+    model = (EM.word2vec_fit_or_load(model_path, sentences, mode, **params) if model_path
+             else EM.train_word2vec(sentences, **params))
     emb = EM.item_embeddings(model, toks)
     items = emb.join(item_index, "asin").select(
         F.col("itemIndex").cast("int").alias("itemId"), "embedding",
@@ -45,10 +48,6 @@ def embedding_stage(item_parts: DataFrame, item_index: DataFrame, model_path: st
     return model, items
 
 
-def item_vectors_from(items: DataFrame) -> DataFrame:
-    return items.select("itemId", "embedding", "itemAvgRating", "itemReviewCount")
-
-
 @dataclass
 class RankerStage:
     model: object

@@ -27,13 +27,12 @@ def read_reviews(spark: SparkSession, path: str | list[str], partitions: int | N
 
     Malformed lines become all-null rows and wrong-typed fields become null
     (PERMISSIVE mode); cleaning drops them.  A ``.gz`` file cannot be split, so
-    it is read by one task: the rows are spread over ``partitions`` (default for
-    ``.gz`` paths: the shuffle partition count) right after the scan instead of
+    it is read by one task: the rows are spread over ``partitions`` (default when
+    the input has ``.gz`` files, also inside a folder: the shuffle partition count) right after the scan instead of
     running the whole pipeline in that one task.
     """
     df = spark.read.schema(REVIEW_SCHEMA).option("mode", "PERMISSIVE").json(path)
-    paths = [path] if isinstance(path, str) else list(path)
-    if partitions is None and any(p.endswith(".gz") for p in paths):
+    if partitions is None and any(f.endswith(".gz") for f in df.inputFiles()):
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if partitions:
         df = df.repartition(partitions)

@@ -15,12 +15,16 @@ RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lin
               "conversations")
 
 # Engine-specific spellings of the same expression.
+# The user of an order: a quarter of the orders stand for a user of their own.
+_USER = "(CASE WHEN o_orderkey % 4 = 3 THEN 500000000 + o_orderkey ELSE o_custkey END)"
 _SPARK_TOKENS = {
+    "user": _USER,
     "epoch": "unix_timestamp(o_orderdate)",
     "darr": "ARRAY<DOUBLE>",
     "k10": "explode(sequence(0, 9))",
 }
 _DUCK_TOKENS = {
+    "user": _USER,
     "epoch": "CAST(epoch(o_orderdate) AS BIGINT)",
     "darr": "DOUBLE[]",
     "k10": "unnest(range(0, 10))",
@@ -28,55 +32,58 @@ _DUCK_TOKENS = {
 
 # Fixed fixture definitions: table references are {name} placeholders.
 VIEWS: dict[str, str] = {
-    # returned lines are valid reviews; 'A' lines with quantity 1..4 are invalid rows
+    # every line is a review; 'A' lines with quantity 1..4 are invalid rows; a quarter of the
+    # orders belong to a user of their own (few ratings), returned lines carry long texts
     "reviews": """
 SELECT CASE WHEN l_returnflag = 'A' AND l_quantity = 1 THEN NULL
-            ELSE concat('U', lpad(CAST(o_custkey AS STRING), 8, '0')) END AS reviewerID,
+            ELSE concat('U', lpad(CAST({user} AS STRING), 10, '0')) END AS reviewerID,
        CASE WHEN l_returnflag = 'A' AND l_quantity = 2 THEN NULL
             ELSE concat('I', lpad(CAST(l_partkey AS STRING), 8, '0')) END AS asin,
        CASE WHEN l_returnflag = 'A' AND l_quantity = 3 THEN NULL
             WHEN l_returnflag = 'A' AND l_quantity = 4 THEN 0.0
             ELSE CAST(1 + (l_orderkey + l_partkey) % 5 AS DOUBLE) END AS overall,
        l_linestatus = 'F' AS verified,
-       CASE WHEN l_linenumber = 7 THEN NULL ELSE text END AS reviewText,
+       CASE WHEN l_linenumber = 7 THEN NULL WHEN l_returnflag = 'R' THEN text
+            ELSE concat(p_name, ' ', p_type, ' ', p_brand, ' ') END AS reviewText,
        CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE p_name END AS summary,
        {epoch} AS unixReviewTime
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
-JOIN {documents} ON doc_id = (l_orderkey * 7 + l_linenumber) % (SELECT count(*) FROM {documents})
-WHERE l_returnflag = 'R' OR (l_returnflag = 'A' AND l_quantity <= 4)""",
+JOIN {documents} ON doc_id = (l_orderkey * 7 + l_linenumber) % (SELECT count(*) FROM {documents})""",
     "ratings": """
-SELECT CAST(o_custkey AS INT) AS userId, CAST(l_partkey AS INT) AS itemId,
+SELECT CAST({user} AS INT) AS userId, CAST(l_partkey AS INT) AS itemId,
        CAST(1 + (l_orderkey + l_partkey) % 5 AS FLOAT) AS rating, {epoch} AS timestamp
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'""",
-    # only some items have a vector, so profile-less users exist
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
+    # there are fewer vectors than items, so profile-less users exist
     "item_emb": """
-SELECT CAST(vec_id AS INT) AS itemId, CAST(embedding AS {darr}) AS embedding
-FROM {embeddings} WHERE label >= 5 AND vec_id IN (SELECT p_partkey FROM {part})""",
+SELECT CAST(vec_id AS INT) AS itemId, CAST(embedding AS {darr}) AS embedding FROM {embeddings}""",
     # 10 stand-in ALS candidates per warm user; userId % 50 = 0 gets flat scores
     "candidates": """
-SELECT userId, CAST((userId * 13 + k * 17) % (SELECT count(*) FROM {part}) AS INT) AS itemId,
+SELECT userId, CAST((CAST(userId AS BIGINT) * 13 + k * 17) % (SELECT count(*) FROM {part}) AS INT) AS itemId,
        CASE WHEN userId % 50 = 0 THEN CAST(1.0 AS DOUBLE)
-            ELSE ((userId * 31 + k * 7) % 100) / CAST(10.0 AS DOUBLE) END AS alsRawScore
+            ELSE ((CAST(userId AS BIGINT) * 31 + k * 7) % 100) / CAST(10.0 AS DOUBLE) END AS alsRawScore
 FROM (SELECT userId, {k10} AS k
       FROM (SELECT userId FROM {ratings} GROUP BY userId HAVING count(*) > 5) w) u""",
     "predictions": """
-SELECT userId, itemId, rating, CAST(1 + itemId % 5 AS FLOAT) AS prediction FROM {ratings}""",
+SELECT userId, itemId, rating, CASE WHEN itemId % 11 = 0 THEN CAST('NaN' AS FLOAT)
+       ELSE CAST(1 + itemId % 5 AS FLOAT) END AS prediction FROM {ratings}""",
+    # stand-in recommendations of every user; only some cold users by the personalised path
     "recs": """
-SELECT userId, itemId, alsRawScore AS hybridScore, 0.0 * alsRawScore AS alsScore,
-       0.0 * alsRawScore AS w2vScore,
+SELECT userId, itemId, score AS hybridScore, 0.0 * score AS alsScore, 0.0 * score AS w2vScore,
        CASE WHEN userId % 3 = 0 THEN 'als_gbt' WHEN userId % 3 = 1 THEN 'w2v_personalized'
             ELSE 'popularity_fallback' END AS source,
-       CAST(rank() OVER (PARTITION BY userId ORDER BY alsRawScore DESC, itemId) AS INT) AS rank
-FROM {candidates}""",
+       CAST(rank() OVER (PARTITION BY userId ORDER BY score DESC, itemId) AS INT) AS rank
+FROM (SELECT userId, CAST((CAST(userId AS BIGINT) * 13 + k * 17) % (SELECT count(*) FROM {part}) AS INT) AS itemId,
+             ((CAST(userId AS BIGINT) * 31 + k * 7) % 100) / CAST(10.0 AS DOUBLE) AS score
+      FROM (SELECT userId, {k10} AS k FROM (SELECT DISTINCT userId FROM {ratings}) d) u) c""",
 }
 
 VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "reviews": ("lineitem", "orders", "part", "documents"),
     "ratings": ("lineitem", "orders"),
-    "item_emb": ("embeddings", "part"),
+    "item_emb": ("embeddings",),
     "candidates": ("part", "ratings"),
     "predictions": ("ratings",),
-    "recs": ("candidates",),
+    "recs": ("part", "ratings"),
 }
 
 

@@ -1,4 +1,4 @@
-"""Lookup requests as a stream joined to static recommendation tables."""
+"""Lookup requests as a stream answered from static recommendation tables."""
 
 from __future__ import annotations
 
@@ -11,27 +11,30 @@ REQUEST_SCHEMA = T.StructType([T.StructField("userId", T.IntegerType()),
                                T.StructField("n", T.IntegerType())])
 
 
-def lookup_stream(requests: DataFrame, recs: DataFrame, activity: DataFrame,
-                  item_index: DataFrame | None = None, item_meta: DataFrame | None = None) -> DataFrame:
-    """Streaming ``requests`` (userId, n) → streaming answers (see ``report.lookup_recs``).
-
-    Every join is stream-static with the stream on the left (left outer joins are
-    supported in append mode); the static side is re-read per micro-batch, so a
-    refreshed recommendation table is picked up without restarting.
-    """
+def lookup_stream(requests: DataFrame, out_dir: str, checkpoint: str, recs: DataFrame,
+                  activity: DataFrame, item_index: DataFrame | None = None,
+                  item_meta: DataFrame | None = None):
+    """Start answering streaming ``requests`` (userId, n): every micro-batch is one batch of
+    lookups (see ``report.lookup_recs``), written by the executors to
+    ``out_dir/batch=<id>``.  A repeated batch overwrites its own folder, so answers are
+    exactly once.  Returns the running query."""
     if not requests.isStreaming:
         raise ValueError("requests must be a streaming DataFrame")
-    return lookup_recs(requests, recs, activity, item_index, item_meta)
+
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        (lookup_recs(batch, recs, activity, item_index, item_meta)
+         .write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}"))
+
+    return (requests.writeStream.foreachBatch(answer)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def run_lookup_stream(spark, request_dir: str, recs: DataFrame, activity: DataFrame,
-                      checkpoint: str, item_index: DataFrame | None = None,
-                      item_meta: DataFrame | None = None, table: str = "lookup_answers") -> DataFrame:
-    """Answer every request file present in ``request_dir`` (parquet) and return
-    the answers as a batch table.  ``checkpoint`` must be on shared storage."""
+def run_lookup_stream(spark, request_dir: str, out_dir: str, checkpoint: str, recs: DataFrame,
+                      activity: DataFrame, item_index: DataFrame | None = None,
+                      item_meta: DataFrame | None = None) -> DataFrame:
+    """Answer every request file present in ``request_dir`` (parquet) and return the answers
+    as a batch table.  The folders must be on shared storage."""
     stream = spark.readStream.schema(REQUEST_SCHEMA).parquet(request_dir)
-    answers = lookup_stream(stream, recs, activity, item_index, item_meta)
-    q = (answers.writeStream.format("memory").queryName(table).outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = lookup_stream(stream, out_dir, checkpoint, recs, activity, item_index, item_meta)
     q.awaitTermination()
-    return spark.table(table)
+    return spark.read.parquet(out_dir).drop("batch")
