@@ -5,6 +5,7 @@
     python -m rankloom.plans.cli embed      --data DIR --models DIR [--mode reuse|retrain]
     python -m rankloom.plans.cli ranker     --data DIR --models DIR
     python -m rankloom.plans.cli recommend  --data DIR --models DIR --out DIR [--sample N]
+    python -m rankloom.plans.cli serve      --data DIR --out DIR [--requests PATH]
 
 The session comes from ``spark-submit`` (master, memory, ``spark.checkpoint.dir``).
 Each stage prints one JSON line of counts and metrics computed by the cluster.
@@ -20,15 +21,18 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankloom.operators import als as A
 from rankloom.operators import ranker as RK
+from rankloom.operators import report as RP
+from rankloom.operators.ratings import item_popularity, user_activity
 from rankloom.operators.report import rmse_report
 from rankloom.plans import preprocess as PP
 from rankloom.plans import recommend as RG
 from rankloom.plans import train as TR
 from rankloom.session import ensure_checkpoint_dir
-from rankloom.sources import read_reviews, read_table, save_model, write_table
+from rankloom.sources import optional_table, read_reviews, read_table, save_model, write_table
 
 
 def _emit(d: dict) -> None:
@@ -62,9 +66,15 @@ def run_embed(spark, a) -> dict:
     return {"stage": "embed", "items": read_table(spark, f"{a.data}/item_vectors").count()}
 
 
+#: the layout of item_vectors; a missing table reads as an empty one (defaults apply)
+ITEM_VECTORS = T.StructType([
+    T.StructField("itemId", T.IntegerType()), T.StructField("embedding", T.ArrayType(T.DoubleType())),
+    T.StructField("itemAvgRating", T.DoubleType()), T.StructField("itemReviewCount", T.LongType())])
+
+
 def run_ranker(spark, a) -> dict:
     ratings = read_table(spark, f"{a.data}/ratings")
-    items = read_table(spark, f"{a.data}/item_vectors")
+    items = optional_table(spark, f"{a.data}/item_vectors", ITEM_VECTORS)
     st = TR.ranker_stage(ALSModel.load(f"{a.models}/als"), ratings, items, seed=a.seed)
     save_model(st.model, f"{a.models}/ranker")
     rep = st.report.first().asDict()
@@ -74,7 +84,7 @@ def run_ranker(spark, a) -> dict:
 
 def run_recommend(spark, a) -> dict:
     ratings = read_table(spark, f"{a.data}/ratings")
-    items = read_table(spark, f"{a.data}/item_vectors")
+    items = optional_table(spark, f"{a.data}/item_vectors", ITEM_VECTORS)
     out = RG.generate(ratings, items, ALSModel.load(f"{a.models}/als"),
                       GBTClassificationModel.load(f"{a.models}/ranker"), seed=a.seed,
                       sample_size=a.sample, route_uncovered=a.route_uncovered,
@@ -91,8 +101,26 @@ def run_recommend(spark, a) -> dict:
     return {"stage": "recommend", **cov, **per, "sources": src}
 
 
+def run_serve(spark, a) -> dict:
+    """Tables the lookups read: enriched recommendations, dataset figures, segment shares,
+    and (with --requests, a parquet table of userId[, n]) the answers."""
+    ratings = read_table(spark, f"{a.data}/ratings")
+    activity, popularity = user_activity(ratings), item_popularity(ratings)
+    recs = read_table(spark, f"{a.out}/recommendations")
+    index, stats = (read_table(spark, f"{a.data}/{t}") for t in ("item_index", "item_stats"))
+    write_table(RP.enrich_recs(recs, index, stats), f"{a.out}/enriched", sort_by=["userId", "rank"])
+    write_table(RP.dataset_stats(activity, popularity, recs), f"{a.out}/dataset_stats")
+    write_table(RP.segment_share(activity), f"{a.out}/segment_share")
+    out = {"stage": "serve", "enriched": read_table(spark, f"{a.out}/enriched").count()}
+    if a.requests:
+        answers = RP.lookup_recs(read_table(spark, a.requests), recs, activity, index, stats)
+        write_table(answers, f"{a.out}/answers")
+        out["answers"] = read_table(spark, f"{a.out}/answers").count()
+    return out
+
+
 STAGES = {"preprocess": run_preprocess, "als": run_als, "embed": run_embed,
-          "ranker": run_ranker, "recommend": run_recommend}
+          "ranker": run_ranker, "recommend": run_recommend, "serve": run_serve}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -102,6 +130,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--data", help="folder of stage tables")
     p.add_argument("--models", help="folder of saved models")
     p.add_argument("--out", help="folder for recommendations")
+    p.add_argument("--requests", help="parquet table of lookups (userId[, n]) for serve")
     p.add_argument("--partitions", type=int, default=None)
     p.add_argument("--sample", type=int, default=None,
                    help="recommend for this many users only (default: every user)")

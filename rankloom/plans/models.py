@@ -25,9 +25,9 @@ from rankloom.plans import preprocess as PP
 from rankloom.plans.fixture import Fixture
 from rankloom.plans.train import RANKER_CANDIDATES, RANKER_USERS
 from rankloom.session import shared_path
-from rankloom.sources.models import fit_or_load
+from rankloom.sources.models import fingerprint, fit_or_load
 
-MODEL_VERSION = "v2"   # bump when training code changes, so saved models are refit
+MODEL_VERSION = "v3"   # bump when training code changes, so saved models are refit
 _MEMO: dict = {}
 
 
@@ -53,7 +53,15 @@ class Fitted:
     @cached_property
     def als(self) -> ALSModel:
         train = self._als_split[0]
-        return fit_or_load(f"{self.base}/als", lambda: A.train_als(train), ALSModel)
+        return fit_or_load(f"{self.base}/als-{self._als_print}", lambda: A.train_als(train), ALSModel)
+
+    @cached_property
+    def _als_print(self) -> str:
+        return fingerprint(self._als_split[0], MODEL_VERSION)
+
+    @cached_property
+    def _w2v_print(self) -> str:
+        return fingerprint(self.sentences.select("asin", "partKey", "nTokens"), MODEL_VERSION)
 
     @cached_property
     def parts(self) -> DataFrame:
@@ -66,7 +74,7 @@ class Fitted:
 
     @cached_property
     def w2v(self):
-        return EM.word2vec_fit_or_load(f"{self.base}/word2vec", self.sentences)
+        return EM.word2vec_fit_or_load(f"{self.base}/word2vec-{self._w2v_print}", self.sentences)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -91,12 +99,13 @@ class Fitted:
     @cached_property
     def ranker(self) -> GBTClassificationModel:
         train = self.training.filter(F.col("split") == "train")
-        return fit_or_load(f"{self.base}/ranker", lambda: RK.train_ranker(train),
+        prints = f"{self._als_print}-{self._w2v_print}"     # all that the training set is made of
+        return fit_or_load(f"{self.base}/ranker-{prints}", lambda: RK.train_ranker(train),
                            GBTClassificationModel)
 
 
 def _tag(sf_dir: str) -> str:
-    return hashlib.sha1(f"{sf_dir}|{MODEL_VERSION}".encode()).hexdigest()[:12]
+    return hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
 
 
 def fitted(fx: Fixture) -> Fitted:

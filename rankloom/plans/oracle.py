@@ -58,6 +58,15 @@ CTES: dict[str, str] = {
              "CAST(sum(len(tk)) - max_by(endEmpties, {'t': unixReviewTime, 'r': reviewerID, 'k': partKey}) "
              "AS BIGINT) AS docTokens FROM ptok GROUP BY asin",
     "embi": "SELECT * FROM tstat WHERE docChars > 50 AND reviewCount >= 5 AND docTokens > 3",
+    "mrat": "SELECT CAST(u.userIndex AS INT) AS userId, CAST(i.itemIndex AS INT) AS itemId, "
+            "CAST(c.overall AS FLOAT) AS rating FROM clean c JOIN uidx u USING (reviewerID) "
+            "JOIN iidx i USING (asin)",
+    "mact": "SELECT userId, count(*) AS n FROM mrat GROUP BY userId",
+    "mside": f"SELECT *, {hb("(userId || '|' || itemId || '|' || CAST(rating AS VARCHAR))", 42, 10000)} < 8000 "
+             "AS train FROM mrat WHERE userId IN (SELECT userId FROM mact WHERE n >= 5)",
+    "mtrain": "SELECT * FROM mside WHERE train",
+    "vocab": "SELECT word FROM (SELECT unnest(tk) AS word FROM ptok WHERE asin IN (SELECT asin FROM embi)) w "
+             "GROUP BY word HAVING count(*) >= 50",
     "act": "SELECT userId, count(*) AS userRatingCount FROM ratings GROUP BY userId",
     "pop": "SELECT itemId, count(*) AS itemRatingCount FROM ratings GROUP BY itemId",
     "active": "SELECT userId, itemId, rating FROM ratings WHERE userId IN ("
@@ -340,3 +349,37 @@ LEFT JOIN act a ON a.userId = q.userId"""),
     FROM recs r JOIN act a USING (userId)) u) t WHERE rn <= 5"""),
 }
 ORACLE["lookup_stream"] = ORACLE["lookup_recs"]
+
+# Fitted models: what the data determine of them.
+ORACLE |= {
+    "als_predictions": sql("""SELECT userId, itemId, rating, true AS finite FROM mside WHERE NOT train
+AND userId IN (SELECT userId FROM mtrain) AND itemId IN (SELECT itemId FROM mtrain)"""),
+    "als_user_topk": sql("""SELECT DISTINCT userId,
+       least(5, (SELECT count(DISTINCT itemId) FROM mtrain)) AS n FROM mtrain"""),
+    "als_item_topk": sql("""SELECT DISTINCT itemId,
+       least(5, (SELECT count(DISTINCT userId) FROM mtrain)) AS n FROM mtrain"""),
+    "als_candidates": sql("""SELECT userId, least(50, (SELECT count(DISTINCT itemId) FROM mtrain)) AS n
+FROM mact WHERE n >= 6 AND userId IN (SELECT userId FROM mtrain)"""),
+    "als_item_factors": sql("SELECT DISTINCT itemId, CAST(15 AS BIGINT) AS rank FROM mtrain"),
+    "w2v_item_embeddings": sql(f"""SELECT CAST(itemIndex AS INT) AS itemId, {r6('avgRating', 'itemAvgRating')},
+       reviewCount AS itemReviewCount, CAST(50 AS BIGINT) AS dim, true AS finite
+FROM embi JOIN iidx USING (asin)"""),
+    "w2v_synonyms": sql("""SELECT word AS query, CAST(5 AS BIGINT) AS n FROM vocab
+WHERE word <> '' ORDER BY word LIMIT 3"""),
+    "fit_or_load": sql("SELECT word, CAST(50 AS BIGINT) AS dim FROM vocab"),
+    "gbt_report": "SELECT true AS tested, true AS aucROC, true AS aucPR, true AS accuracy",
+    "gbt_importances": "SELECT unnest(['alsScore', 'w2vScore', 'logItemPop', 'logUserActivity', "
+                       "'itemAvgRating']) AS feature, true AS valid",
+    "recommend_warm": sql("""SELECT userId, CAST(10 AS BIGINT) AS n, CAST(10 AS BIGINT) AS lastRank
+FROM mact WHERE n >= 6 AND userId IN (SELECT userId FROM mtrain)"""),
+    "recommend_all": sql("SELECT userId, CAST(1 AS BIGINT) AS sources, true AS ranked FROM mact"),
+    "model_report": sql("""SELECT count(*) AS nRated, true AS rmse, true AS aucROC,
+       'alsScore,itemAvgRating,logItemPop,logUserActivity,w2vScore' AS features,
+       CAST(1.0 AS DOUBLE) AS importance
+FROM mside WHERE NOT train AND userId IN (SELECT userId FROM mtrain) AND itemId IN (SELECT itemId FROM mtrain)"""),
+}
+ORACLE["split_by_time"] = sql("""SELECT CASE WHEN t <= cut THEN 'train' ELSE 'test' END AS split, count(*) AS n,
+       min(t) AS lo, max(t) AS hi
+FROM (SELECT r.timestamp AS t, (SELECT quantile_disc(timestamp, 0.8) FROM ratings
+        WHERE userId IN (SELECT userId FROM active)) AS cut
+      FROM ratings r WHERE userId IN (SELECT userId FROM active)) q GROUP BY 1""")

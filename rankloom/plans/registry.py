@@ -410,106 +410,133 @@ def sample_users_by_segment(fx):
     return RP.sample_users_by_segment(fx.view("recs"), fx.activity)
 
 
-# ------------------------------------------------------------ fitted models (rows checks)
+# ------------------------------------------------------------ fitted models
 
 def _fitted(fx):
     from rankloom.plans.models import fitted
     return fitted(fx)
 
 
+# What a fit determines - keys, row counts, vocabularies, bounds - is compared with the oracle;
+# the fitted numbers themselves are tested for their properties (tests/test_models.py).
+
+def _per(df, key, n="n"):
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+
+
+def _finite(col):
+    return F.col(col).isNotNull() & ~F.isnan(col) & (F.abs(col) < float("inf"))
+
+
 @query
 def als_predictions(fx):
-    from rankloom.operators import als as A
     m = _fitted(fx)
-    return A.predict(m.als, m.als_test)
+    return A.predict(m.als, m.als_test).select("userId", "itemId", "rating",
+                                               _finite("prediction").alias("finite"))
 
 
 @query
 def als_user_topk(fx):
-    from rankloom.operators import als as A
-    return A.user_topk(_fitted(fx).als)
+    return _per(A.user_topk(_fitted(fx).als), "userId")
 
 
 @query
 def als_item_topk(fx):
-    from rankloom.operators import als as A
-    return A.item_topk(_fitted(fx).als)
+    return _per(A.item_topk(_fitted(fx).als), "itemId")
 
 
 @query
 def als_candidates(fx):
-    from rankloom.operators import als as A
     m = _fitted(fx)
-    return A.candidates_for(m.als, m.ranker_users, 50)
+    return _per(A.candidates_for(m.als, m.ranker_users, 50), "userId")
 
 
 @query
 def als_item_factors(fx):
-    from rankloom.operators import als as A
-    return A.item_factors(_fitted(fx).als)
+    return A.item_factors(_fitted(fx).als).select(
+        "itemId", F.size("alsEmbedding").cast("long").alias("rank"))
 
 
 @query
 def w2v_item_embeddings(fx):
-    return _fitted(fx).items
+    return rounded(_fitted(fx).items.select(
+        "itemId", "itemAvgRating", "itemReviewCount",
+        F.size("embedding").cast("long").alias("dim"),
+        F.forall("embedding", lambda x: ~F.isnan(x)).alias("finite")))
 
 
 @query
 def w2v_synonyms(fx):
-    from rankloom.operators import embed as EM
-    return EM.synonyms(_fitted(fx).w2v)
+    """Synonyms of words of the vocabulary: how many each probe word gets."""
+    return _per(EM.synonyms(_fitted(fx).w2v), "query")
 
 
 @query
 def fit_or_load(fx):
-    """A saved Word2Vec model is loaded, not refit: its vectors as (word, vector)."""
+    """A saved Word2Vec model is loaded, not refit: its words and their dimension."""
     from pyspark.ml.functions import vector_to_array
-    from rankloom.operators import embed as EM
     m = _fitted(fx)
     path = scratch_path(fx.spark, f"w2v-reuse-{uuid.uuid4().hex}")
     m.w2v.write().overwrite().save(path)
-    loaded = EM.word2vec_fit_or_load(path, m.parts, mode="reuse")
-    return loaded.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    loaded = EM.word2vec_fit_or_load(path, m.sentences, mode="reuse")
+    return loaded.getVectors().select("word", F.size(vector_to_array("vector")).cast("long").alias("dim"))
 
 
-@query
-def gbt_report(fx):
+def _gbt(fx):
     from rankloom.operators import ranker as RK
     m = _fitted(fx)
     return RK.evaluate(m.ranker, m.training.filter(F.col("split") == "test"))
 
 
 @query
-def gbt_importances(fx):
-    from rankloom.operators import ranker as RK
-    return RK.importances(_fitted(fx).ranker)
+def gbt_report(fx):
+    unit = [F.col(c).between(0.0, 1.0).alias(c) for c in ("aucROC", "aucPR", "accuracy")]
+    return _gbt(fx).select((F.col("n") > 0).alias("tested"), *unit)
 
 
-def _generated(fx):
-    from rankloom.plans.recommend import generate
-    m = _fitted(fx)
-    return generate(m.ratings, m.items, m.als, m.ranker)
+@query
+def gbt_importances(fx):
+    from rankloom.operators import ranker as RK
+    return RK.importances(_fitted(fx).ranker).select(
+        "feature", F.col("importance").between(0.0, 1.0).alias("valid"))
 
 
 @query
 def recommend_warm(fx):
-    return _generated(fx)["warm"]
+    """The personalised path alone: rows and last rank of every user it serves."""
+    m = _fitted(fx)
+    warm = REC.segment_users(m.ratings, activity=m.activity).filter("segment = 'warm'")
+    recs = REC.recommend_warm(m.als, m.ranker, warm.select("userId"), m.items, m.activity,
+                              m.popularity)
+    return recs.groupBy("userId").agg(F.count(F.lit(1)).alias("n"),
+                                      F.max("rank").cast("long").alias("lastRank"))
 
 
 @query
 def recommend_all(fx):
-    return _generated(fx)["recs"]
+    """The full run, written once; every rated user is served, with ranks from 1 on."""
+    from rankloom.plans.recommend import generate, release
+    m = _fitted(fx)
+    out = generate(m.ratings, m.items, m.als, m.ranker)
+    path = scratch_path(fx.spark, f"recommendations-{uuid.uuid4().hex}")
+    write_table(out["recs"], path)
+    release(out)
+    return read_table(fx.spark, path).groupBy("userId").agg(
+        F.countDistinct("source").alias("sources"),
+        (F.max("rank") == F.count(F.lit(1))).alias("ranked"))
 
 
 @query
 def model_report(fx):
-    """RMSE (with its quality band) and ranker metrics, computed from the models."""
-    from rankloom.operators import als as A
+    """RMSE (with its quality band), ranker metrics and feature importances, from the models."""
     from rankloom.operators import ranker as RK
     m = _fitted(fx)
     rmse = RP.rmse_report(A.predict(m.als, m.als_test)).withColumnRenamed("n", "nRated")
-    gbt = RK.evaluate(m.ranker, m.training.filter(F.col("split") == "test"))
-    return RP._fold(rmse, gbt)
+    imp = RK.importances(m.ranker).agg(
+        F.concat_ws(",", F.array_sort(F.collect_list("feature"))).alias("features"),
+        F.round(F.sum("importance"), 6).alias("importance"))
+    return RP._fold(rmse.select("nRated", _finite("rmse").alias("rmse")),
+                    _gbt(fx).select(F.col("aucROC").between(0.0, 1.0).alias("aucROC")), imp)
 
 
 # ------------------------------------------------------------ streaming

@@ -42,11 +42,15 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is used as is.  Only when
-    it is unset (local tests) do we create a scratch folder for it.
+    On a cluster that setting names shared storage and is used as is; without it we
+    refuse to go on, as executors would write to disks the others cannot see.  Only a
+    local master gets a scratch folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="rankloom-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
