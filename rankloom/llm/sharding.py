@@ -84,8 +84,9 @@ def assign_shards(docs: DataFrame, tree: tuple, grown: tuple, id_col: str = "doc
         .groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("shard", shard_of(F.col("doc_id"), tree).cast("int"))
         .withColumn("grown_shard", shard_of(F.col("doc_id"), grown).cast("int"))
-        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit("slot")),
-                                     F.lit(b)).cast("int")))
+        .withColumn("bucket", F.coalesce(  # never null, so no filter parts the two readers
+            F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit("slot")), F.lit(b)).cast("int"),
+            F.lit(0))))
     in_bucket = Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32")
     numbered = rows.withColumn(
         "last", F.sum("copies").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
