@@ -20,26 +20,34 @@ is not held out.  Equal rows give equal results; further columns of the input ar
 from __future__ import annotations
 
 import math
+import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import slices, stash
 
-MAX_WORDS, MAX_GRAMS, LENGTHS = 60_000, 30_000, (5, 4, 3, 2, 1)
+MAX_WORDS, MAX_GRAMS, LENGTHS = 60_000, 30_000, (4, 3, 2, 1)
 MAX_LANGUAGES = 512
-FLUSH = 400_000            # distinct (language, word) a task holds before it hands them on
-CACHE_WORDS = 500_000
+FLUSH = 250_000            # distinct (language, word) a task holds before it hands them on
+CACHE_WORDS = 250_000
 SLICE_BYTES = 4 << 20
 UNKNOWN = "und"
 
-WORDS = regex.compile(r"\p{L}+")
+#: runs of letters
+WORDS = re.compile(r"[^\W\d_]+")
+
+
+def letters(text: str | None) -> list[str]:
+    """The words of a text; none if what looks like words are numerals only."""
+    words = WORDS.findall(text.lower()) if text else []
+    return words if any(c.isalpha() for w in words for c in w) else []
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -50,28 +58,23 @@ def grams(word: str, n: int) -> list[str]:
 def word_counts(docs: DataFrame, text: str, label: str) -> DataFrame:
     """(lang, word, n) over all rows; each task adds up its own before they are shuffled."""
     def run(batches):
-        held: Counter = Counter()
+        held: dict[str, Counter] = {}
 
         def hand_on():
-            keys = list(held)
-            for i in range(0, len(keys), 50_000):
-                part = keys[i:i + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in part], pa.string()),
-                     pa.array([k[1] for k in part], pa.string()),
-                     pa.array([held[k] for k in part], pa.int64())], ["lang", "word", "n"])
+            for lang, words in held.items():
+                keys = list(words)
+                for i in range(0, len(keys), 50_000):
+                    part = keys[i:i + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()),
+                         pa.array([words[k] for k in part], pa.int64())], ["lang", "word", "n"])
             held.clear()
 
         for batch in batches:
-            by_lang: dict[str, Counter] = {}
-            for t, lang in zip(batch.column("t"), batch.column("l")):
-                by_lang.setdefault(lang.as_py(), Counter()).update(
-                    WORDS.findall(t.as_py().lower()))
-            for lang, words in by_lang.items():
-                for w, n in words.items():
-                    held[lang, w] += n
-            if len(held) > FLUSH:
-                yield from hand_on()
+            for i, (t, lang) in enumerate(zip(batch.column("t"), batch.column("l"))):
+                held.setdefault(lang.as_py(), Counter()).update(WORDS.findall(t.as_py().lower()))
+                if i % 100 == 99 and sum(map(len, held.values())) > FLUSH:
+                    yield from hand_on()
         yield from hand_on()
 
     rows = (docs.select(F.col(text).alias("t"), F.col(label).alias("l"))
@@ -155,42 +158,50 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
 
 
 class Scorer:
+    """A worker's model with a bounded table of the words it has met."""
+
     def __init__(self, model: Model):
         self.model, self.none = model, (0.0,) * len(model.langs)
-        self.cache: dict[str, tuple[float, ...]] = {}
+        self.steps = [(n, model.tables[n].get) for n in LENGTHS]
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.values = array("d")
 
     def word(self, w: str) -> tuple[float, ...]:
-        tables = self.model.tables
-        if (known := tables[0].get(w)) is not None:
+        if (known := self.model.tables[0].get(w)) is not None:
             return known
-        for n in LENGTHS:
-            get = tables[n].get
-            rows = [v for g in grams(w, n) if (v := get(g)) is not None]
+        for n, get in self.steps:
+            rows = [v for v in map(get, grams(w, n)) if v is not None]
             if rows:
-                return tuple(sum(c) / len(rows) for c in zip(*rows))
+                return tuple([sum(c) / len(rows) for c in zip(*rows)])
         return self.none
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        rows = [WORDS.findall(t.lower()) if t else [] for t in texts]
-        distinct = list(set().union(*rows))
-        cache, word = self.cache, self.word
-        for w in distinct:
-            if w not in cache:
-                cache[w] = word(w)
         langs = self.model.langs
         if not langs:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        table = np.array([cache[w] for w in distinct], float).reshape(-1, len(langs))
-        place = {w: i for i, w in enumerate(distinct)}.__getitem__
-        out, scores = [], []
+        if len(self.index) > CACHE_WORDS:
+            self.forget()
+        rows = [letters(t) for t in texts]
+        get, places = self.index.get, []
         for r in rows:
-            if not r:
+            found = list(map(get, r))
+            if None in found:
+                for w in {w for w, i in zip(r, found) if i is None}:
+                    self.index[w] = len(self.index)
+                    self.values.extend(self.word(w))
+                found = list(map(get, r))
+            places.append(found)
+        table = np.array(self.values).reshape(-1, len(langs))
+        out, scores = [], []
+        for found in places:
+            if not found:
                 out.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            total = table[np.fromiter(map(place, r), np.int64, len(r))].sum(0)
+            total = table[found].sum(0)
             best = int(total.argmax())
             out.append(langs[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))

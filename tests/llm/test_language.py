@@ -30,7 +30,7 @@ def test_known_words_first_then_shorter_grams(spark):
     assert model.langs == ["de", "en"]
     s = L.Scorer(model)
     assert s.word("haus") == model.tables[0]["haus"]
-    assert s.word("hausen")[0] > s.word("hausen")[1]        # by its 5-grams
+    assert s.word("hausen")[0] > s.word("hausen")[1]        # by its 4-grams
     assert s.word("zzund")[0] > 0 and s.word("jjj") == (0.0, 0.0)
     assert s.predict(["Haus", "HOUSE", "", None, "12 ²", "jjj"])[0] == [
         "de", "en", "und", "und", "und", "de"]
