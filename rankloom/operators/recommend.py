@@ -134,15 +134,25 @@ def _top_k_array(scored: Column, k: int, ties: bool) -> Column:
     breaks ties).  With ``ties`` every entry scoring at least the k-th score stays,
     ranked like SQL ``rank()`` (1 + number of strictly better entries).
     """
-    ordered = F.sort_array(scored)
     if not ties:
-        top = F.slice(ordered, 1, k)
+        top = F.slice(F.sort_array(scored), 1, k)
         return F.transform(top, lambda e, i: F.struct(e.alias("e"), (i + 1).alias("rank")))
-    kth = F.try_element_at(ordered, F.lit(k))["neg"]
-    kept = F.when(F.size(ordered) <= k, ordered).otherwise(
-        F.filter(ordered, lambda e: e["neg"] <= kth))
-    return F.transform(kept, lambda e: F.struct(
-        e.alias("e"), (F.size(F.filter(kept, lambda o: o["neg"] < e["neg"])) + 1).alias("rank")))
+
+    def keep(ordered: Column) -> Column:
+        kth = F.try_element_at(ordered, F.lit(k))["neg"]
+        return F.when(F.size(ordered) <= k, ordered).otherwise(
+            F.filter(ordered, lambda e: e["neg"] <= kth))
+
+    def ranked(kept: Column) -> Column:
+        return F.transform(kept, lambda e: F.struct(
+            e.alias("e"), (F.size(F.filter(kept, lambda o: o["neg"] < e["neg"])) + 1).alias("rank")))
+
+    return _let(_let(F.sort_array(scored), keep), ranked)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def rank_within_user(df: DataFrame, score: str = "hybridScore", k: int = TOP_K,

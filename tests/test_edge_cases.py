@@ -85,6 +85,62 @@ def test_array_top_k_matches_window_ranks(spark):
     assert tied == 20   # zero profile: every item scores the same
 
 
+def test_large_pool_in_blocks(spark):
+    """A pool of 5000 items is scored in blocks like one array would be."""
+    pool = spark.range(5000).selectExpr(
+        "CAST(id AS INT) AS itemId", "array(1.0D + id % 7, 1.0D + id % 11) AS embedding",
+        "1.0D + id % 5 AS itemAvgRating", "ln(2.0D + id) AS logItemPop")
+    prof = spark.createDataFrame([(1, [1.0, 0.2]), (2, [0.1, 1.0])], "userId int, profile array<double>")
+    pairs = prof.join(pool, how="cross").select(
+        "userId", "itemId",
+        F.round(taste_blend(cosine("profile", "embedding"), "itemAvgRating", "logItemPop"), 6)
+        .alias("hybridScore"))
+    for ties in (False, True):
+        got = {(r.userId, r.itemId, r["rank"]) for r in
+               REC.recommend_cold(prof, pool, None, ties=ties, digits=6).collect()}
+        assert got == {(r.userId, r.itemId, r["rank"]) for r in
+                       REC.rank_within_user(pairs, ties=ties).collect()}
+    items = REC.item_vectors(pool.select("itemId", "embedding"))
+    pop = pool.selectExpr("itemId", "CAST(10 + itemId AS BIGINT) AS itemRatingCount")
+    assert len(REC.pool_ids(REC.candidate_pool(items, pop, k=5000))) == 5000
+
+
+def test_invalid_vectors_count_as_none(spark):
+    emb = spark.createDataFrame([(1, [1.0, float("nan")]), (2, [float("inf"), 0.0]), (3, [None, 1.0]),
+                                 (4, [1.0, 2.0]), (5, None)], "itemId int, embedding array<double>")
+    items = REC.item_vectors(emb)
+    assert {r.itemId for r in items.filter("embedding IS NOT NULL").collect()} == {4}
+    pop = emb.selectExpr("itemId", "CAST(50 AS BIGINT) AS itemRatingCount")
+    assert REC.pool_ids(REC.candidate_pool(items, pop)) == [4]
+
+
+def test_fallback_takes_the_best_k_of_a_longer_list(spark):
+    top = spark.createDataFrame([(i, float(i), 0.0) for i in range(25)],
+                                "itemId int, hybridScore double, w2vScore double")
+    users = spark.createDataFrame([(1,)], "userId int")
+    got = [(r.itemId, r["rank"]) for r in REC.recommend_fallback(users, top).collect()]
+    assert sorted(got, key=lambda x: x[1]) == [(24 - i, i + 1) for i in range(10)]
+
+
+def test_checkpoint_folder_is_required_off_local():
+    from types import SimpleNamespace
+    from rankloom.session import ensure_checkpoint_dir
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(
+            getCheckpointDir=lambda: None, master=master))
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(cluster)
+
+
+def test_gzip_files_in_a_folder_are_spread(spark):
+    import uuid
+    path = scratch_path(spark, f"gz-{uuid.uuid4().hex}")
+    spark.createDataFrame([('{"reviewerID": "U1", "asin": "I1", "overall": 5.0}',)], "value string") \
+        .coalesce(1).write.option("compression", "gzip").text(path)
+    plan = read_reviews(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan
+
+
 def test_pool_bound_is_checked(spark):
     pool = spark.createDataFrame([(i, [1.0], 3.0, 1.0) for i in range(5)],
                                  "itemId int, embedding array<double>, itemAvgRating double, logItemPop double")

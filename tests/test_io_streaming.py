@@ -36,7 +36,7 @@ def test_cluster_conf_scales_partitions():
 def test_stream_requires_streaming_input(spark):
     df = spark.createDataFrame([(1, 3)], "userId int, n int")
     with pytest.raises(ValueError):
-        lookup_stream(df, df, df)
+        lookup_stream(df, "out", "checkpoint", df, df)
 
 
 def test_stream_answers_equal_batch_answers(spark):
@@ -47,8 +47,7 @@ def test_stream_answers_equal_batch_answers(spark):
     act = user_activity(td.view(spark, SMALL, "ratings"))
     req = spark.createDataFrame([(u, u % 12) for u in range(0, 200, 3)], "userId int, n int")
     req.write.parquet(f"{base}/req")
-    got = run_lookup_stream(spark, f"{base}/req", recs, act, f"{base}/ckpt",
-                            table=f"t_{uuid.uuid4().hex[:8]}")
+    got = run_lookup_stream(spark, f"{base}/req", f"{base}/out", f"{base}/ckpt", recs, act)
     want = lookup_recs(req, recs, act)
     cols = ["userId", "topN", "found", "rank", "itemId", "source"]
     assert sorted(map(tuple, got.select(*cols).collect()), key=str) == \

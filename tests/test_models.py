@@ -37,10 +37,12 @@ def test_als_fit_predict_topk(fx):
 
 
 def test_document_vectors_equal_transform_of_joined_text(fx):
-    parts = D.item_text_parts(fx.clean)
-    toks = EM.embeddable_parts(EM.part_tokens(parts, min_reviews=2, min_chars=20)).cache()
-    model = EM.train_word2vec(toks, min_count=5, max_iter=1, vector_size=8)
-    mine = {r.asin: np.array(r.embedding) for r in EM.item_embeddings(model, toks).collect()}
+    bounds = {"min_reviews": 2, "min_chars": 20}
+    toks = EM.part_tokens(D.item_text_parts(fx.clean)).cache()
+    sentences = EM.embeddable_parts(toks, EM.embeddable_items(EM.item_token_stats(toks), **bounds))
+    model = EM.train_word2vec(sentences, min_count=5, max_iter=1, vector_size=8)
+    mine = {r.asin: np.array(r.embedding)
+            for r in EM.item_embeddings(model, toks, **bounds).collect()}
     docs = fx.docs.filter((F.length("combinedText") > 20) & (F.col("reviewCount") >= 2))
     tk = D.stop_words_remover("rawTokens", "tokens").transform(D.item_tokens(docs)) \
         .filter(F.size("tokens") > 3)
@@ -50,6 +52,21 @@ def test_document_vectors_equal_transform_of_joined_text(fx):
         assert np.allclose(mine[a], v, atol=1e-12)
 
 
+def test_trailing_tokens_of_the_last_part(spark):
+    """A document's last part, also one that occurs twice, loses its trailing empty tokens
+    once, like the joined text's; null times sort first."""
+    rows = [("I1", None, "u0", 5.0, "first part "), ("I1", 7, "u1", 5.0, "end words  "),
+            ("I1", 7, "u1", 5.0, "end words  "), ("I2", 1, "u1", 3.0, "xx yy"), ("I2", 2, "u1", 3.0, "zz")]
+    parts = spark.createDataFrame(rows, "asin string, unixReviewTime long, reviewerID string, "
+                                        "overall double, text string")
+    got = {r.asin: (r.docTokens, r.docChars) for r in
+           EM.item_token_stats(EM.part_tokens(parts)).collect()}
+    joined = "first part  end words   end words  "
+    kept = [t for t in joined.rstrip().split(" ")
+            if t not in EM.stop_words_remover("a", "b").getStopWords()]
+    assert got == {"I1": (len(kept), len(joined)), "I2": (3, 8)}
+
+
 def test_native_split_equals_tokenizer(fx):
     from pyspark.ml.feature import Tokenizer
     docs = fx.docs
@@ -109,3 +126,55 @@ def test_warm_path_bounds_and_exclude_seen(fx):
                               ratings=fx.ratings)
     seen = fx.ratings.select("userId", "itemId")
     assert excl.join(seen, ["userId", "itemId"]).count() == 0
+
+
+def test_generate_serves_every_user(spark):
+    """By default nobody is sampled away, and nobody is left without a row."""
+    from rankloom.operators import recommend as REC
+    from rankloom.plans import recommend as RG
+    fx = Fixture(spark, SMALL)
+    model, _, _ = A.fit_active(fx.ratings, max_iter=2)
+    feats = FE.candidate_features(
+        FE.candidate_minmax(A.candidates_for(model, fx.warm_users, 20)), fx.items,
+        fx.activity, fx.popularity)
+    ranker = RK.train_ranker(FE.balanced_training_set(
+        FE.label_candidates(feats, fx.ratings, fx.warm_users)), max_iter=2)
+    users = {r.userId for r in fx.activity.collect()}
+    for options in ({}, {"exclude_seen": True, "ties": True}):
+        out = RG.generate(fx.ratings, fx.items, model, ranker, **options)
+        assert {r.userId for r in out["recs"].select("userId").distinct().collect()} == users
+        RG.release(out)
+    # no vectors at all: no profile and no pool, everyone cold falls back
+    none = REC.item_vectors(fx.view("item_emb").limit(0))
+    out = RG.generate(fx.ratings, none, model, ranker)
+    assert {r.userId for r in out["recs"].select("userId").distinct().collect()} == users
+    RG.release(out)
+
+
+def test_als_blocks_follow_the_ratings():
+    assert A.blocks_for(0, 4) == 10 and A.blocks_for(5_000_000, 64) == 64
+    assert A.blocks_for(20_000_000_000, 4000) == 20_000
+
+
+def test_models_are_reused_by_fingerprint(spark):
+    import uuid
+    from pyspark.ml.recommendation import ALSModel
+    from rankloom.session import scratch_path
+    from rankloom.sources.models import fingerprint, fit_or_load, path_exists
+    one = spark.createDataFrame([(1, 1, 5.0), (1, 2, 3.0), (2, 1, 1.0)], "userId int, itemId int, rating float")
+    more = one.unionByName(one.limit(1))
+    assert fingerprint(one) == fingerprint(one.repartition(3)) != fingerprint(more)
+    assert fingerprint(one, 5) != fingerprint(one, 6)
+    path = scratch_path(spark, f"als-{uuid.uuid4().hex}")
+    fits = []
+
+    def fit():
+        fits.append(1)
+        return A.train_als(one, max_iter=1)
+
+    assert not path_exists(path)
+    for _ in range(2):
+        fit_or_load(path, fit, ALSModel)
+    assert len(fits) == 1
+    fit_or_load(path, fit, ALSModel, mode="retrain")
+    assert len(fits) == 2

@@ -57,7 +57,34 @@ def test_pool_top_k_carries_no_vectors(fx):
 
 def test_filters_reach_the_scan(spark):
     p = E.queries()["active_ratings"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in p
+    assert "PushedFilters: [IsNotNull(l_orderkey)" in p and "l_comment" not in p
+
+
+def test_no_text_in_item_shuffles_of_the_embedding_path(fx):
+    from rankloom.operators import docs as D
+    from rankloom.operators import embed as EM
+    toks = EM.part_tokens(D.item_text_parts(fx.clean))
+    for df in (D.item_text_stats(fx.clean), EM.item_token_stats(toks)):
+        lines = plan(df).splitlines()
+        aggregates = [x for x in lines if "Aggregate" in x and "asin" in x]
+        assert aggregates and not [x for x in aggregates if "reviewText" in x or "tokens#" in x]
+        from_item_shuffle = False
+        for x in reversed(lines):            # below the exchange by item text is still there
+            from_item_shuffle |= "Exchange hashpartitioning(asin" in x
+            if from_item_shuffle:
+                assert "reviewText" not in x
+
+
+def test_counts_need_no_expand(spark):
+    assert "Expand" not in plan(E.queries()["dataset_counts"](spark, SMALL))
+
+
+def test_lookup_joins_requests_before_enriching(spark):
+    from rankloom.operators.report import lookup_recs
+    fx = Fixture(spark, SMALL)
+    req = fx.view("customer").selectExpr("CAST(c_custkey AS INT) AS userId")
+    p = plan(lookup_recs(req, fx.view("recs"), fx.activity, fx.item_index, fx.item_stats))
+    assert "LeftSemi" in p and "row_number" not in p
 
 
 def test_fixed_size_tables_only_are_fetched(fx):

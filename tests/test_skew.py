@@ -49,8 +49,49 @@ def test_cold_path_with_hot_item(skewed):
         pd.DataFrame({"userId": counts[counts <= 5].index.astype("int32")}))
     items = REC.item_vectors(emb_df)
     pool = REC.candidate_pool(items, R.item_popularity(ratings), k=50)
-    prof = REC.user_profiles(ratings, cold, items, track_items=REC.pool_ids(pool, 50))
-    recs = REC.recommend_cold(prof, pool, max_pool=50).toPandas()
+    prof = REC.user_profiles(ratings, cold, items, track_items=REC.pool_ids(pool))
+    recs = REC.recommend_cold(prof, pool).toPandas()
     assert recs.groupby("userId").size().max() <= 10
     seen = set(zip(pdf.userId, pdf.itemId))
     assert not any((u, i) in seen for u, i in zip(recs.userId, recs.itemId))
+
+
+@pytest.fixture
+def splitting(spark):
+    """No broadcast joins, and thresholds at which these small tables count as skewed."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_joins(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [x for x in text.splitlines() if "Join" in x]
+
+
+def test_hot_keys_are_split_in_the_final_plan(skewed, splitting):
+    from rankloom.operators import features as FE
+    from rankloom.operators.skew import lookup_join, semi_join
+    _, _, ratings, emb = skewed
+    act, pop = R.user_activity(ratings), R.item_popularity(ratings)
+    users = act.filter("userRatingCount >= 5").select("userId")
+    items = REC.item_vectors(emb)
+    rows = ratings.select("userId", "itemId")
+    for df in (R.active_ratings(ratings), semi_join(rows, users, "userId"),
+               lookup_join(rows, FE.item_features(items, pop), "itemId")):
+        joins = final_joins(df)
+        assert any("skew=true" in x for x in joins), joins
+    profiles = REC.user_profiles(ratings, users, items)
+    assert sum("skew=true" in x for x in final_joins(profiles)) >= 2
