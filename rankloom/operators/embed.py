@@ -32,8 +32,8 @@ def part_tokens(parts: DataFrame) -> DataFrame:
 
     A document's tokens are its parts' tokens one after another, but for the empty
     tokens that end it (``Tokenizer`` drops those).  Every part keeps them here and
-    counts them in ``endEmpties``: empty tokens add nothing to a vector sum, so an item
-    needs only the number of its last part.
+    counts them in ``endEmpties``: of the last part an item needs only that number, to
+    take as many empty tokens back out of its sums.
     """
     blanks = F.length("text") - F.length(F.regexp_replace("text", r"\s+$", ""))
     rows = parts.select(
@@ -50,12 +50,12 @@ def _token_aggregates() -> list:
     last = F.max_by("endEmpties", F.struct("unixReviewTime", "reviewerID", "partKey"))
     return [F.count(F.lit(1)).alias("reviewCount"), F.avg("overall").alias("avgRating"),
             (F.sum("chars") + F.count(F.lit(1)) - 1).alias("docChars"),
-            (F.sum("nTokens") - last).alias("docTokens")]
+            (F.sum("nTokens") - last).alias("docTokens"), last.alias("lastEmpties")]
 
 
 def item_token_stats(tokens: DataFrame) -> DataFrame:
     """(asin, reviewCount, avgRating, docChars, docTokens): numbers only are shuffled."""
-    return tokens.groupBy("asin").agg(*_token_aggregates())
+    return tokens.groupBy("asin").agg(*_token_aggregates()).drop("lastEmpties")
 
 
 def embeddable_items(stats: DataFrame, min_chars: int = MIN_CHARS, min_reviews: int = MIN_REVIEWS,
@@ -100,14 +100,20 @@ def item_embeddings(model: Word2VecModel, tokens: DataFrame, **filters) -> DataF
 
     Each part's mean vector (the model's own transform) times its token count is
     summed per item, with the item's numbers in the same aggregation, and divided by
-    the item's token count: vectors and numbers are shuffled, never text.
+    the item's token count: vectors and numbers are shuffled, never text.  The empty
+    token may be in the vocabulary; those that end a document are taken out again.
     """
+    none = model.getVectors().filter(F.col("word") == "").select("vector").first()   # one word
+    empty = F.array(*[F.lit(float(x)) for x in none[0]]) if none else None
     vec = model.transform(tokens)
     scaled = array_to_vector(F.transform(vector_to_array("vector"),
                                          lambda x: x * F.col("nTokens").cast("double")))
     agg = vec.withColumn("_v", scaled).drop("tokens", "vector").groupBy("asin").agg(
         Summarizer.sum(F.col("_v")).alias("_s"), *_token_aggregates())
-    emb = F.transform(vector_to_array("_s"), lambda x: x / F.col("docTokens").cast("double"))
+    total = vector_to_array("_s")
+    if empty is not None:
+        total = F.zip_with(total, empty, lambda x, e: x - e * F.col("lastEmpties"))
+    emb = F.transform(total, lambda x: x / F.col("docTokens").cast("double"))
     return embeddable_items(agg, **filters).select("asin", emb.alias("embedding"), "avgRating",
                                                    "reviewCount")
 
