@@ -50,7 +50,8 @@ CTES: dict[str, str] = {
     "parts": "SELECT asin, unixReviewTime, reviewerID, md5(text) AS partKey, overall, text, "
              "length(text) AS chars, string_split_regex(lower(text), '\\s') AS raw, "
              "length(text) - length(regexp_replace(text, '\\s+$', '')) AS blanks "
-             "FROM (SELECT *, COALESCE(reviewText, summary) AS text FROM clean) c WHERE text IS NOT NULL",
+             "FROM (SELECT asin, unixReviewTime, reviewerID, overall, COALESCE(reviewText, summary) AS text "
+             "FROM clean WHERE reviewText IS NOT NULL OR summary IS NOT NULL) c",
     "ptok": f"SELECT *, list_filter(raw, lambda x: NOT list_contains({STOP_LIST}, x)) AS tk, "
             "CAST(blanks + CASE WHEN blanks = chars THEN 1 ELSE 0 END AS BIGINT) AS endEmpties FROM parts",
     "tstat": "SELECT asin, count(*) AS reviewCount, avg(overall) AS avgRating, "
@@ -175,7 +176,8 @@ def sql(body: str, *ctes: str) -> str:
             visit(c)
     texts = [CTES[n] for n in need] + [body]
     views = [v for v in FIXTURE_VIEWS if any(_refers(t, v) for t in texts)]
-    local = ",\n".join(f"{n} AS ({CTES[n]})" for n in CTE_ORDER if n in need)
+    local = ",\n".join(f"{n} AS ({CTES[n]})"
+                       for n in CTE_ORDER if n in need)
     head = duck_with(views, "SELECT 1")
     head = head[: head.rfind("SELECT 1")].rstrip()
     if local:
