@@ -57,6 +57,20 @@ def test_empty_and_awkward_documents(spark, awkward, empty):
         stage(spark, awkward, SMALL).count()
 
 
+def test_one_row_of_equal_rows_and_of_rows_without_a_key(spark):
+    from tests.llm.conftest import prose
+    a, b, c, d = (prose(1200 + i, 60) for i in range(4))
+    rows = [(1, a), (1, a), (1, a), (2, a + " more"), (3, b), (3, c), (None, d), (None, d), (None, c),
+            (None, a), (None, None), (None, None)]
+    docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)],
+                                 "doc_id long, text string, row int").repartition(4)
+    out = dict(C.STAGES)["jaccard_join"](spark, docs, SMALL)
+    assert out.schema == docs.schema
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    want = [(1, a), (3, b), (3, c), (None, d), (None, None), (None, None)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_nothing_else_imports_the_subpackage():
     for p in Path(ROOT).joinpath("rankloom").rglob("*.py"):
         if "llm" not in p.parts:
