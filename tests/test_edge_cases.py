@@ -209,3 +209,9 @@ def test_coverage_divides_by_actual_sample(spark):
     ratings = spark.createDataFrame([(u, 1) for u in range(1, 9)], "userId int, itemId int")
     r = RP.coverage_report(recs, sample, ratings).first()
     assert r.coverageSampledPct == 50.0 and r.coverageAllPct == 25.0
+
+
+def test_every_line_is_a_review(spark):
+    from rankloom.sources.testdata import raw_table, view
+    from tests.conftest import SMALL
+    assert view(spark, SMALL, "reviews").count() == raw_table(spark, SMALL, "lineitem").count()
