@@ -48,7 +48,7 @@ USER_INFO = re.compile(r"[^\s/@:]+:[^\s/@]+@[A-Za-z0-9.-]+(?::[0-9]+)?(?:/\S*)?"
 IBAN = re.compile(r"[\s:#=]{0,8}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,9})")
 ACCOUNT = re.compile(r"(?:[\s_-]{0,3}(?:number|no\.?|nr\.?|num|id|#))?[\s]{0,3}[:=#][\s]{0,3}"
                      r"([A-Za-z0-9][A-Za-z0-9-]{4,33})")
-SECRET = re.compile(r"[\"']?[\s]{0,3}[:=][\s]{0,3}[\"']?([^\s\"',;]{6,256})")
+SECRET = re.compile(r"[\"']?[\s]{0,3}[:=][\s]{0,3}[\"']?([^\s\"',;]{6,})")
 
 
 @functools.cache
@@ -82,6 +82,15 @@ def iban_holds(value: str) -> bool:
         str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def _iban(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The longest reading that holds and ends where a group does: at ``end`` or before a space."""
+    while end > start:
+        if iban_holds(text[start:end]):
+            return start, end
+        end = text.rfind(" ", start, end)
+    return None
+
+
 def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     """The address around the at-sign at ``at`` that begins no earlier than ``floor``."""
     start = at
@@ -123,8 +132,8 @@ def find(text: str) -> list[tuple[int, int, str, int]]:
             if m := USER_INFO.match(text, last + 1):
                 span = (at, m.end())
         elif what == "iban":
-            if (m := IBAN.match(text, last + 1)) and iban_holds(m[1]):
-                span = m.span(1)
+            if m := IBAN.match(text, last + 1):
+                span = _iban(text, *m.span(1))
         elif what == "account":
             if (m := ACCOUNT.match(text, last + 1)) and sum(c in "0123456789" for c in m[1]) >= 4:
                 span = m.span(1)

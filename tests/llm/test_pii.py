@@ -65,3 +65,11 @@ def test_awkward_rows(awkward, empty):
     assert red.columns == awkward.columns
     t = {r["doc_id"]: r["text"] for r in red.collect()}
     assert t[0] is None and t[17] == "mail [email] or [phone], [ip], [card]"
+
+
+def test_long_secrets_and_ibans_before_capitals():
+    token = "eyJ" + "a1B2." * 200 + "end"
+    t = f"token={token}, IBAN: DE89370400440532013000 BIC COBADEFF and iban DE89 3704 0044 0532 0130 00 BIC"
+    got = [(k, t[s:e]) for s, _, k, e in P.find(t)]
+    assert ("secret", token) in got and ("iban", "DE89370400440532013000") in got
+    assert ("iban", "DE89 3704 0044 0532 0130 00") in got
