@@ -2,10 +2,11 @@
 
 Learning counts the words of every labelled training text (in the tasks first, then one
 shuffle of the counts) and, from the words, their character n-grams with word borders.  The
-model keeps the most frequent words and n-grams: at most ``MAX_WORDS`` words and
-``MAX_GRAMS`` n-grams of each length, chosen by a count threshold from a histogram of the
-counts, so its size is bounded whatever the corpus (it is collected and broadcast).  All
-counts come from all training texts.
+model keeps the most frequent words and n-grams of every language by that language's own
+counts: at most ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each length a language, so
+that no language displaces another's.  Its size (it is collected and broadcast) is bounded
+by the number of languages times ``MAX_WORDS + len(LENGTHS) * MAX_GRAMS`` features, whatever
+the corpus.  All counts come from all training texts.
 
 Scoring: a known word adds its smoothed log frequency in each language, taken relative to
 the mean over the languages.  An unseen word is cut into n-grams of the longest length of
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 
 from rankloom.llm.common import slices, stash
 
-MAX_WORDS, MAX_GRAMS, LENGTHS = 60_000, 30_000, (4, 3, 2, 1)
+MAX_WORDS, MAX_GRAMS, LENGTHS = 60_000, 30_000, (5, 4, 3, 2, 1)
 MAX_LANGUAGES = 512
+BUCKETS = 1024             # parts, by hash, of a count class that does not fit whole
 FLUSH = 250_000            # distinct (language, word) a task holds before it hands them on
 CACHE_WORDS = 250_000
 SLICE_BYTES = 4 << 20
@@ -112,25 +114,45 @@ class Model:
 
 
 def _frequent(counts: DataFrame, most: dict[int, int]) -> DataFrame:
-    """The features of each size with the largest totals, at most ``most[size]`` of them:
-    all from the lowest count class (eighths of a doubling) that keeps within the bound."""
-    totals = (counts.groupBy("size", "feature")
-              .agg(F.sum("n").alias("total"),
-                   F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")))
-    level = F.floor(F.log2("total") * 8).cast("int")
-    histogram: dict[int, dict[int, int]] = {}
-    for r in (totals.groupBy("size", level.alias("level")).count().collect()):
-        histogram.setdefault(r["size"], {})[r["level"]] = r["count"]
-    keep = F.lit(False)
-    for size, bins in histogram.items():
-        left, floor = most[size], None
+    """(size, feature, by) of the features of each size that are among the most frequent of
+    a language, at most ``most[size]`` of each: whole count classes (eighths of a doubling)
+    from the top, and of the first that does not fit as many buckets of the feature's hash
+    as do."""
+    counts = counts.withColumn("level", F.floor(F.log2("n") * 8).cast("int")).withColumn(
+        "bucket", F.pmod(F.xxhash64("feature"), F.lit(BUCKETS)).cast("int"))
+    histogram: dict[tuple[int, str], dict[int, int]] = {}
+    for r in counts.groupBy("size", "lang", "level").count().collect():
+        histogram.setdefault((r["size"], r["lang"]), {})[r["level"]] = r["count"]
+    left, edge = {}, {}
+    for which, bins in histogram.items():
+        left[which], edge[which] = most[which[0]], -1
         for lv in sorted(bins, reverse=True):
-            if (left := left - bins[lv]) < 0:
+            if bins[lv] > left[which]:
+                edge[which] = lv
                 break
-            floor = lv
-        if floor is not None:
-            keep = keep | ((F.col("size") == size) & (level >= floor))
-    return totals.filter(keep)
+            left[which] -= bins[lv]
+    spark = counts.sparkSession
+
+    def joined(limits: dict[tuple[int, str], int], name: str, df: DataFrame) -> DataFrame:
+        rows = spark.createDataFrame([(*k, v) for k, v in limits.items()],
+                                     f"size int, lang string, {name} int")
+        return df.join(F.broadcast(rows), ["size", "lang"])
+
+    counts, cut = joined(edge, "edge", counts), dict.fromkeys(histogram, 0)
+    full = set()
+    for r in (counts.filter("level = edge").groupBy("size", "lang", "bucket").count()
+              .orderBy("size", "lang", "bucket").collect()):
+        which = (r["size"], r["lang"])
+        if which not in full and r["count"] <= left[which]:
+            left[which] -= r["count"]
+            cut[which] = r["bucket"] + 1
+        else:
+            full.add(which)
+    keep = (F.col("level") > F.col("edge")) | (
+        (F.col("level") == F.col("edge")) & (F.col("bucket") < F.col("cut")))
+    return (joined(cut, "cut", counts).groupBy("size", "feature")
+            .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
+                 F.max(keep).alias("keep")).filter("keep").drop("keep"))
 
 
 def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
@@ -148,8 +170,8 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
         for r in counts.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     most = {0: MAX_WORDS} | dict.fromkeys(LENGTHS, MAX_GRAMS)
     tables: dict[int, dict[str, tuple[float, ...]]] = {s: {} for s in most}
-    # at most MAX_WORDS + len(LENGTHS) * MAX_GRAMS rows
-    for r in _frequent(counts, most).collect():
+    # at most MAX_WORDS + len(LENGTHS) * MAX_GRAMS rows a language
+    for r in stash(_frequent(counts, most), "language-features").toLocalIterator():
         logs = [math.log((r["by"].get(x, 0) + 0.5) / (sums.get((r["size"], x), 0) + 1.0))
                 for x in langs]
         mean = sum(logs) / len(logs)

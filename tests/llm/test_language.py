@@ -56,3 +56,16 @@ def test_awkward_rows(awkward, empty):
     assert L.predict(empty, model).count() == 0
     none = L.learn(empty)
     assert L.predict(awkward, none).filter(F.col("lang_pred") != "und").count() == 0
+
+
+def test_a_large_language_displaces_no_words_of_a_small_one(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_WORDS", 30)
+    big = " ".join("b" + chr(97 + i) + chr(97 + j) for i in range(20) for j in range(20))
+    small = " ".join("s" + chr(97 + i) for i in range(20))
+    docs = spark.createDataFrame([(i, big, "big") for i in range(50)] + [(99, small, "small")],
+                                 "doc_id long, text string, lang string")
+    model = L.learn(docs)
+    words = model.tables[0]
+    assert set(small.split()) <= set(words)
+    assert 0 < len(set(big.split()) & set(words)) <= 30      # one count class, larger than fits
+    assert " baa " in model.tables[5]
