@@ -7,6 +7,7 @@ from rankloom.llm.decontaminate import WINDOW
 from rankloom.llm.jaccard import N, PERCENT
 from rankloom.llm.quality import ALPHA, DELTA, GRID, MAX_REPEAT_PERCENT, MIN_WORDS, SYMBOLS
 from rankloom.llm.substrings import LENGTH
+from rankloom.llm.urls import CONFIDENCE, LEAST_PAGES, RULES, SUPPORT
 
 _TEXT = "coalesce(text, '')"
 _LOWER = f"translate({_TEXT}, '{UPPER}', '{LOWER}')"
@@ -115,9 +116,52 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND x.doc_id IS NULL AS kept
 FROM f LEFT JOIN x USING (doc_id)"""
 
+def _lower(text: str) -> str:
+    return f"translate({text}, '{UPPER}', '{LOWER}')"
+
+
+def _listed(column: int) -> str:
+    longest = sorted(RULES, key=lambda r: (len(r[0] + r[1]), r), reverse=True)
+    return "CASE " + " ".join(
+        f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{(h + p, v)[column]}'"
+        for h, p, v in longest) + " END"
+
+
+# Every set of tokens of every labelled page is counted; only small tables allow that.
+URLS = f"""
+WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
+                           ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, {_lower("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+             regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1) AS query FROM r),
+p AS (SELECT page_id, host, path, {_listed(0)} AS rule, {_listed(1)} AS listed,
+             list_sort(list_distinct(
+               [{_lower("'h:' || x")} FOR x IN string_split(host, '.') IF x != '']
+               || [{_lower("'p:' || x")} FOR x IN regexp_split_to_array(path, '[/.]') IF x != '']
+               || [{_lower("'q:' || string_split(x, '=')[1]")} FOR x IN string_split(query, '&')
+                   IF string_split(x, '=')[1] != ''])) AS ts FROM u),
+b AS (SELECT doc_id, max(CASE WHEN quality = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS bad
+      FROM labels WHERE quality IN (0, 1) OR toxic = 1 GROUP BY doc_id),
+t AS (SELECT ts, bad FROM p JOIN b ON page_id = doc_id),
+n AS (SELECT greatest({LEAST_PAGES}, ceil({SUPPORT} * count(*))) AS least FROM t),
+z AS (SELECT list_filter(ts, lambda x, i: (m >> (i - 1)) & 1 = 1) AS body, bad
+      FROM (SELECT ts, bad, unnest(range(1, CAST(1 AS BIGINT) << len(ts))) AS m FROM t)),
+c AS (SELECT body, count(*) AS n, sum(bad) AS block FROM z GROUP BY body),
+k AS (SELECT body, CAST(s AS BIGINT) AS support, s / n AS confidence, block
+      FROM (SELECT body, n, block AS s, true AS block FROM c
+            UNION ALL SELECT body, n, n - block, false FROM c), n
+      WHERE s >= least AND s / n >= {CONFIDENCE}),
+m AS (SELECT page_id, max({{'confidence': confidence, 'support': support, 'block': block}}) AS best
+      FROM p JOIN k ON list_has_all(ts, body) WHERE rule IS NULL GROUP BY page_id)
+SELECT p.page_id, host, path, rule, best.confidence AS confidence,
+       coalesce(best.support, 0) AS support,
+       coalesce(listed, CASE WHEN best.block THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN m ON p.page_id = m.page_id"""
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": SUBSTRINGS,
     "op2_jaccard_join": JACCARD,
     "op6_decontamination": DECONTAMINATION,
     "op8_quality": QUALITY,
+    "op13_url_filters": URLS,
 }

@@ -83,3 +83,10 @@ def op1_substring_dedup(spark, sf_dir):
 def op5_line_dedup(spark, sf_dir):
     from rankloom.llm.lines import line_report
     return line_report(documents(spark, sf_dir))
+
+
+@query
+def op13_url_filters(spark, sf_dir):
+    from rankloom.llm.urls import filter_urls
+    return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"),
+                       spark.read.parquet(f"{sf_dir}/labels.parquet"))
