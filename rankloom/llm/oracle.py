@@ -7,6 +7,7 @@ from rankloom.llm.decontaminate import WINDOW
 from rankloom.llm.jaccard import N, PERCENT
 from rankloom.llm.quality import ALPHA, DELTA, GRID, MAX_REPEAT_PERCENT, MIN_WORDS, SYMBOLS
 from rankloom.llm.substrings import LENGTH
+from rankloom.llm.trie import GROUP, HEADS
 from rankloom.llm.urls import CONFIDENCE, LEAST_PAGES, RULES, SUPPORT
 
 _TEXT = "coalesce(text, '')"
@@ -158,10 +159,47 @@ SELECT p.page_id, host, path, rule, best.confidence AS confidence,
        coalesce(listed, CASE WHEN best.block THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN m ON p.page_id = m.page_id"""
 
+# CRC-32 of the decimal id: eight shifts for each of its characters.
+_CRC = ("xor(list_reduce([4294967295::BIGINT] || [ascii(x)::BIGINT FOR x IN "
+        "string_split(CAST(conv_id AS VARCHAR), '')], lambda crc, x: list_reduce("
+        "[xor(crc, x)] || [0::BIGINT FOR i IN range(8)], lambda y, i: "
+        "CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295)")
+TRIE = f"""
+WITH o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % {GROUP} AS base, {_CRC} % {HEADS} AS h
+      FROM (SELECT DISTINCT conv_id FROM o)),
+r AS (SELECT c.conv_id, 0 AS part, o.p, o.role, o.text FROM c JOIN o ON o.conv_id = base AND o.p < h
+      UNION ALL SELECT c.conv_id, 1, o.p, o.role, o.text FROM c JOIN o USING (conv_id) WHERE o.p >= h),
+t AS (SELECT conv_id, text, row_number() OVER w AS d,
+             md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w) AS k
+      FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, p ROWS UNBOUNDED PRECEDING)),
+a AS (SELECT conv_id, d, k, coalesce(lag(k) OVER (PARTITION BY conv_id ORDER BY d), '') AS parent,
+             len(regexp_extract_all(text, '[^{SPACE}]+')) AS words FROM t
+      UNION ALL SELECT conv_id, 0, '', NULL, 0 FROM c),
+l AS (SELECT conv_id, max(d) AS d FROM a GROUP BY conv_id),
+n AS (SELECT d, k, min(conv_id) AS owner, count(*) AS n, any_value(parent) AS parent,
+             any_value(words) AS words FROM a GROUP BY d, k),
+e AS (SELECT d, k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+      FROM a JOIN l USING (conv_id, d) GROUP BY d, k),
+x AS (SELECT d, parent AS k, count(*) AS children FROM (SELECT d - 1 AS d, parent FROM n WHERE d > 0)
+      GROUP BY ALL),
+s AS (SELECT up.d, up.k, sum((n.n - 1) * n.words) AS saved,
+             count(*) FILTER (x.children IS NULL) AS leaves
+      FROM n JOIN a low ON low.conv_id = n.owner AND low.d <= n.d JOIN n up ON up.d = low.d AND up.k = low.k
+      LEFT JOIN x ON x.d = n.d AND x.k = n.k GROUP BY up.d, up.k)
+SELECT n.owner AS conv_id, CAST(n.d AS BIGINT) AS depth, p.owner AS parent_conv_id, n.n AS n_convs,
+       coalesce(x.children, 0) AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM n JOIN s ON s.d = n.d AND s.k = n.k LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.parent
+LEFT JOIN e ON e.d = n.d AND e.k = n.k LEFT JOIN x ON x.d = n.d AND x.k = n.k"""
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": SUBSTRINGS,
     "op2_jaccard_join": JACCARD,
     "op6_decontamination": DECONTAMINATION,
     "op8_quality": QUALITY,
     "op13_url_filters": URLS,
+    "op12_prefix_trie": TRIE,
 }

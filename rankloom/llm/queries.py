@@ -90,3 +90,9 @@ def op13_url_filters(spark, sf_dir):
     from rankloom.llm.urls import filter_urls
     return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"),
                        spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    from rankloom.llm.trie import prefix_trie
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
