@@ -96,3 +96,11 @@ def op13_url_filters(spark, sf_dir):
 def op12_prefix_trie(spark, sf_dir):
     from rankloom.llm.trie import prefix_trie
     return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op11_alignment(spark, sf_dir):
+    import public_tokenizers
+    from rankloom.llm.alignment import align
+    return align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model"))
