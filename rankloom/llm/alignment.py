@@ -12,10 +12,15 @@ open ends between them and cutting these again.  Composing is associative, so th
 of a text are reduced as a tree over tasks, ``FAN`` at a time; closed groups are written as
 soon as they are known and never move again.  Texts up to ``CHUNK`` bytes are one fragment.
 
-*Counts.*  Closed units are worked on in blocks of at most ``BLOCK`` bytes of text.  Each block
-hands on its distinct id pairs with their numbers; these are summed over the corpus, the
-highest count of each B id is found, and every block gets the totals of its own pairs back.  A
-block's pairs are bounded by its bytes, however frequent a pair is in the corpus.
+*Words.*  Both tokenizers begin anew before a space that no other white space surrounds, so
+there every group ends, and a short text is a row of closed elements, one a word.  Each distinct
+word is tokenized and aligned once per worker (a table of at most ``TABLE`` bytes).  Texts with
+other runs of white space are one element, as are the closed parts of long texts.
+
+*Counts.*  Texts are worked on in blocks of at most ``BLOCK`` bytes.  Each block hands on its
+distinct id pairs with their numbers; these are summed over the corpus, the highest count of
+each B id is found, and every block gets the totals of its own pairs back.  A block's pairs are
+bounded by its bytes, however frequent a pair is in the corpus.
 
 *Digests.*  The groups of a long text are hashed as a stream of its units in order.
 
@@ -45,7 +50,8 @@ from rankloom.llm.packing import pack, unpack, unzipped, zipped
 from rankloom.llm.vocabulary import Vocabulary, ragged, read
 
 CHUNK = 64 << 10           # bytes of text in a chunk; shorter texts are whole
-BLOCK = 6 << 20            # bytes of text whose pairs are counted together
+BLOCK = 8 << 20            # bytes of text whose pairs are counted together
+TABLE = 48 << 20           # bytes of words and links that a worker remembers
 SLICE = 2 << 20            # bytes of text tokenized at once
 FAN = 16                   # neighbours composed by one task
 
@@ -216,20 +222,22 @@ def compose(left: Fragment, right: Fragment, tok: Tokenizers):
 
 # ---- rows ------------------------------------------------------------------------------------
 
-def _pa_schema(key: pa.DataType) -> pa.Schema:
-    return pa.schema([
-        ("kind", pa.string()), ("rid", pa.int64()), ("key", key), ("whole", pa.bool_()),
-        ("j", pa.int64()), ("ok", pa.bool_()), ("cut", pa.bool_()),
-        ("at", pa.int64()), ("a", pa.binary()), ("b_at", pa.int64()), ("b", pa.binary()),
-        ("tail_at", pa.int64()), ("tail_a", pa.binary()), ("tail_b_at", pa.int64()),
-        ("tail_b", pa.binary()), ("block", pa.int64()), ("pairs", pa.list_(pa.int64())),
-        ("times", pa.list_(pa.int64()))])
+_FIELDS = ("kind string, rid long, key {}, whole boolean, j long, ok boolean, cut boolean, "
+           "at long, a binary, b_at long, b binary, tail_at long, tail_a binary, tail_b_at long, "
+           "tail_b binary, block long, n_a long, n_b long, n_groups long, n_links long, "
+           "groups_sha256 string, groups binary, pairs array<long>, times array<long>, "
+           "links binary, n_each binary, items binary, n_items binary")
+_PA = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(),
+       "array<long>": pa.list_(pa.int64())}
 
 
 def _schema(key: str) -> str:
-    return (f"kind string, rid long, key {key}, whole boolean, j long, ok boolean, cut boolean, "
-            "at long, a binary, b_at long, b binary, tail_at long, tail_a binary, tail_b_at long, "
-            "tail_b binary, block long, pairs array<long>, times array<long>")
+    return _FIELDS.format(key)
+
+
+def _pa_schema(key: pa.DataType) -> pa.Schema:
+    fields = [f.split() for f in _FIELDS.split(", ")]
+    return pa.schema([(name, _PA.get(kind, key)) for name, kind in fields])
 
 
 def _ids(x: np.ndarray) -> bytes:
@@ -253,9 +261,9 @@ def _fragment_of(r: dict) -> Fragment:
                             _load(r["tail_b"])), r["ok"])
 
 
-def _unit_row(rid, key, whole: bool, s: Streams) -> dict:
-    return {"kind": "unit", "rid": rid, "key": key, "whole": whole, "at": s.a_at,
-            "a": _ids(s.a), "b": _ids(s.b)}
+def _closed_row(rid, key, s: Streams) -> dict:
+    return {"kind": "closed", "rid": rid, "key": key, "at": s.a_at, "a": _ids(s.a),
+            "b": _ids(s.b)}
 
 
 def links(a: np.ndarray, b: np.ndarray, tok: Tokenizers):
@@ -276,72 +284,150 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a << 32) | b
 
 
-def _in_blocks(units, part: int, salt: int, schema: pa.Schema, tok: Tokenizers, most: int):
-    """Unit rows in blocks, each followed by the block's distinct pairs and their numbers.
-    ``units`` are (row, bytes of text); batches of other rows go through."""
-    held, size, number = [], 0, 0
+class Elements:
+    """Closed streams that a worker has aligned: words, which it finds again, and others."""
+
+    def __init__(self, tok: Tokenizers):
+        self.tok = tok
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.texts: list[str] = []             # groups of each element
+        self.columns = [np.zeros(0, np.int64) for _ in range(4)]    # n_a, n_b, n_groups, n_links
+        self.fine = np.zeros(0, bool)
+        self.links = np.zeros(0, np.int64)
+        self.size = 0
+
+    def _add(self, a: list[np.ndarray], b: list[np.ndarray], fine: np.ndarray) -> None:
+        """Streams that are spelled alike by both (where ``fine``) as new elements."""
+        none = np.zeros(0, np.int64)
+        xs = [x if ok else none for x, ok in zip(a, fine)]
+        ys = [y if ok else none for y, ok in zip(b, fine)]
+        n_a, n_b = (np.array([len(x) for x in z], np.int64) for z in (xs, ys))
+        a, b = np.concatenate(xs), np.concatenate(ys)
+        ends, x, y, a_end, b_end = links(a, b, self.tok)
+        texts, n_groups = group_texts(a, b, a_end, b_end, n_a, n_b, self.tok)
+        stop = np.concatenate([[0], a_end])[np.cumsum(n_a)]
+        n_links = np.diff(np.concatenate([[0], np.searchsorted(ends, stop, "right")]))
+        self.texts += texts
+        self.columns = [np.concatenate([old, new]) for old, new in
+                        zip(self.columns, (n_a, n_b, n_groups, n_links))]
+        self.fine = np.concatenate([self.fine, fine])
+        self.links = np.concatenate([self.links, _pair(x, y)])
+        self.size += sum(map(len, texts)) + 8 * len(ends) + 150 * len(texts)
+
+    def add_texts(self, texts: list[str]) -> np.ndarray:
+        tok, first = self.tok, len(self.texts)
+        a, b = tok.encode_a([" " + t for t in texts]), tok.encode_b(texts)
+        spaced = [(" " + t).encode() for t in texts]
+        self._add(a, b, spelled(tok.a, a, spaced) & spelled(tok.b, b, spaced))
+        return np.arange(first, len(self.texts))
+
+    def add_stream(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        self._add([a], [b], np.ones(1, bool))
+        return np.array([len(self.texts) - 1])
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """The elements of each text, in order."""
+        words = [None if self.tok.apart is False or _ODD.search(" " + t) else t.split(" ")
+                 for t in texts]
+        new = list({w for ws in words if ws for w in ws if w not in self.index})
+        if new:
+            self.index |= zip(new, self.add_texts(new).tolist())
+        odd = [t for t, ws in zip(texts, words) if ws is None]
+        rest = iter(self.add_texts(odd) if odd else ())
+        get = self.index.__getitem__
+        return [np.array([next(rest)] if ws is None else list(map(get, ws)), np.int64)
+                for ws in words]
+
+
+#: white space by which a text can't be told apart at single spaces
+_ODD = re.compile(r"\s \s|  | $|^ $")
+
+
+def _in_blocks(parts, part: int, salt: int, schema: pa.Schema, store: Elements, most: int):
+    """Unit rows in blocks, each followed by the block's distinct pairs and their numbers, the
+    links of its elements and the elements of its units.  ``parts`` are (bytes of text, function
+    that gives (row, elements) of units, and batches of other rows, which go through)."""
+    held, items, size, number = [], [], 0, 0
 
     def flush():
         block = (salt << 60) | (part << 30) | number
-        a = np.concatenate([_load(r["a"]) for r in held])
-        b = np.concatenate([_load(r["b"]) for r in held])
-        _, x, y, _, _ = links(a, b, tok)
-        pairs, times = np.unique(_pair(x, y), return_counts=True)
+        flat = np.concatenate(items)
+        used, local, times = np.unique(flat, return_inverse=True, return_counts=True)
+        each = store.columns[3]
+        own = store.links[ragged((np.cumsum(each) - each)[used], each[used])]
+        pairs, place = np.unique(own, return_inverse=True)
+        total = np.bincount(place, np.repeat(times, each[used]), len(pairs)).astype(np.int64)
         yield pa.RecordBatch.from_pylist([r | {"block": block} for r in held], schema)
+        one = {"kind": pa.array(["block"]), "block": pa.array([block]),
+               "pairs": pa.array([pairs], pa.list_(pa.int64())),
+               "times": pa.array([total], pa.list_(pa.int64())),
+               "links": pa.array([_ids(place)]), "n_each": pa.array([_ids(each[used])]),
+               "items": pa.array([_ids(local)]),
+               "n_items": pa.array([_ids(np.array([len(x) for x in items]))])}
         yield pa.RecordBatch.from_arrays(
-            [pa.array(["pairs"]) if f.name == "kind" else pa.array([block]) if f.name == "block"
-             else pa.array([pairs], f.type) if f.name == "pairs"
-             else pa.array([times], f.type) if f.name == "times" else pa.nulls(1, f.type)
-             for f in schema], schema=schema)
-
-    for item in units:
-        if isinstance(item, pa.RecordBatch):
-            yield item
-            continue
-        row, n = item
+            [one.get(f.name, pa.nulls(1, f.type)) for f in schema], schema=schema)
+
+    for n, work in parts:
         if held and size + n > most:
             yield from flush()
-            held, size, number = [], 0, number + 1
-        held.append(row)
+            held, items, size, number = [], [], 0, number + 1
+            if store.size > TABLE:
+                store.forget()
         size += n
+        for out in work():
+            if isinstance(out, pa.RecordBatch):
+                yield out
+            else:
+                held.append(out[0] | {"j": len(held)})
+                items.append(out[1])
     if held:
         yield from flush()
 
 
+def _unit(rid, key, whole: bool, at: int, elements: np.ndarray, store: Elements) -> dict:
+    text = ";".join(map(store.texts.__getitem__, elements.tolist())).encode()
+    return {"kind": "unit", "rid": rid, "key": key, "whole": whole, "at": at,
+            **{x: int(c[elements].sum()) for x, c in zip(FIGURES, store.columns)},
+            "groups_sha256": hashlib.sha256(text).hexdigest() if whole else None,
+            "groups": None if whole else zipped(text)}
+
+
 def _first_pass(batches, raw_a, raw_b, chunk: int, block: int, key: pa.DataType):
     """Short texts to units in blocks, long ones to pieces, the others to rows without tokens."""
     from pyspark import TaskContext
     tok, schema = tokenizers_of(raw_a, raw_b), _pa_schema(key)
-    part = TaskContext.get().partitionId()
+    store = Elements(tok)
 
     def other(rows):
         return pa.RecordBatch.from_pylist(rows, schema)
 
-    def units():
+    def units(rids, keys, texts):
+        yield other([{"kind": "none", "key": k} for k, t in zip(keys, texts) if not t])
+        for r, k, t in zip(rids, keys, texts):
+            if t and len(t) > chunk:
+                data = b" " + t
+                for j, (a0, a1, b0, b1) in enumerate(chunks(data, chunk, tok.apart)):
+                    yield other([{"kind": "piece", "rid": r, "key": k, "j": j, "at": a0,
+                                  "a": data[a0:a1], "b_at": b0, "b": data[b0:b1]}])
+        short = [(r, k, t) for r, k, t in zip(rids, keys, texts) if t and len(t) <= chunk]
+        for (r, k, _), elements in zip(short, store.of([t.decode() for _, _, t in short])):
+            if store.fine[elements].all():
+                yield _unit(r, k, True, 0, elements, store), elements
+            else:
+                yield other([{"kind": "none", "key": k}])
+
+    def parts():
         for batch in batches:
-            sizes = [len(t or b"") for t in batch.column("text").to_pylist()]
-            for lo, hi in slices(sizes, SLICE):
-                rids, keys, texts = (batch.column(c).slice(lo, hi - lo).to_pylist()
-                                     for c in ("rid", "key", "text"))
-                yield other([{"kind": "none", "key": k} for k, t in zip(keys, texts) if not t])
-                for r, k, t in zip(rids, keys, texts):
-                    if t and len(t) > chunk:
-                        data = b" " + t
-                        for j, (a0, a1, b0, b1) in enumerate(chunks(data, chunk, tok.apart)):
-                            yield other([{"kind": "piece", "rid": r, "key": k, "j": j, "at": a0,
-                                          "a": data[a0:a1], "b_at": b0, "b": data[b0:b1]}])
-                short = [(r, k, t) for r, k, t in zip(rids, keys, texts) if t and len(t) <= chunk]
-                plain = [t.decode() for _, _, t in short]
-                a, b = tok.encode_a([" " + t for t in plain]), tok.encode_b(plain)
-                spaced = [b" " + t for _, _, t in short]
-                ok = spelled(tok.a, a, spaced) & spelled(tok.b, b, spaced)
-                yield other([{"kind": "none", "key": k}
-                             for (_, k, _), fine in zip(short, ok) if not fine])
-                for (r, k, t), x, y, fine in zip(short, a, b, ok):
-                    if fine:
-                        yield _unit_row(r, k, True, Streams(0, x, 0, y)), len(t)
-
-    yield from _in_blocks(units(), part, 0, schema, tok, block)
+            rids, keys, texts = (batch.column(c).to_pylist() for c in ("rid", "key", "text"))
+            sizes = [len(t or b"") for t in texts]
+            for lo, hi in slices(sizes, min(SLICE, block)):
+                yield (sum(n for n in sizes[lo:hi] if n <= chunk),
+                       functools.partial(units, rids[lo:hi], keys[lo:hi], texts[lo:hi]))
+
+    yield from _in_blocks(parts(), TaskContext.get().partitionId(), 0, schema, store, block)
 
 
 def _pieces(batches, raw_a, raw_b, key: pa.DataType):
@@ -358,7 +444,7 @@ def _pieces(batches, raw_a, raw_b, key: pa.DataType):
             f, done = fragment(body, ok, r["j"] == 0, tok)
             rows = [_open_row(r["rid"], r["key"], r["j"], f)]
             if done is not None:
-                rows.append(_unit_row(r["rid"], r["key"], False, done))
+                rows.append(_closed_row(r["rid"], r["key"], done))
             yield pa.RecordBatch.from_pylist(rows, schema)
 
 
@@ -370,21 +456,27 @@ def _reduce(table: pa.Table, raw_a, raw_b, key: pa.DataType, fan: int) -> pa.Tab
     for r in rows[1:]:
         now, done = compose(now, _fragment_of(r), tok)
         if done is not None:
-            out.append(_unit_row(r["rid"], r["key"], False, done))
+            out.append(_closed_row(r["rid"], r["key"], done))
     out.append(_open_row(rows[0]["rid"], rows[0]["key"], rows[0]["j"] // fan, now))
     return pa.Table.from_pylist(out, schema)
 
 
 def _reblock(batches, raw_a, raw_b, block: int, key: pa.DataType):
+    """Closed parts of long texts to units in blocks."""
     from pyspark import TaskContext
     tok, schema = tokenizers_of(raw_a, raw_b), _pa_schema(key)
+    store = Elements(tok)
+
+    def unit(r):
+        elements = store.add_stream(_load(r["a"]), _load(r["b"]))
+        yield _unit(r["rid"], r["key"], False, r["at"], elements, store), elements
 
-    def units():
+    def parts():
         for batch in batches:
             for r in batch.to_pylist():
-                yield r | {"kind": "unit"}, int(tok.a.length[_load(r["a"])].sum())
+                yield (int(tok.a.length[_load(r["a"])].sum()), functools.partial(unit, r))
 
-    yield from _in_blocks(units(), TaskContext.get().partitionId(), 1, schema, tok, block)
+    yield from _in_blocks(parts(), TaskContext.get().partitionId(), 1, schema, store, block)
 
 
 def group_texts(a, b, a_end, b_end, n_a, n_b, tok: Tokenizers) -> tuple[list[str], np.ndarray]:
@@ -414,8 +506,7 @@ def group_texts(a, b, a_end, b_end, n_a, n_b, tok: Tokenizers) -> tuple[list[str
 
 def until_of(groups: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Groups up to the end of each unit."""
-    ends = np.cumsum(counts)
-    return np.where(ends > 0, groups[np.maximum(ends - 1, 0)] + 1, 0)
+    return np.concatenate([[0], groups + 1])[np.cumsum(counts)]
 
 
 def _result_schema(key: pa.DataType) -> pa.Schema:
@@ -424,36 +515,27 @@ def _result_schema(key: pa.DataType) -> pa.Schema:
                       ("groups_sha256", pa.string()), ("groups", pa.binary())])
 
 
-def _figures(units: pa.Table, totals: pa.Table, raw_a, raw_b, key: pa.DataType) -> pa.Table:
-    """The figures of a block's units from the corpus totals of its pairs."""
-    tok, schema = tokenizers_of(raw_a, raw_b), _result_schema(key)
-    if not units.num_rows:
-        return schema.empty_table()
-    known = totals.column("pair").to_numpy()
-    order = np.argsort(known)
-    known, times = known[order], totals.column("times").to_numpy()[order]
-    best = totals.column("best").to_numpy(zero_copy_only=False)[order]
-    xs = [_load(x) for x in units.column("a").to_pylist()]
-    ys = [_load(x) for x in units.column("b").to_pylist()]
-    a, b = np.concatenate(xs), np.concatenate(ys)
-    n_a, n_b = (np.array([len(x) for x in z], np.int64) for z in (xs, ys))
-    ends, x, y, a_end, b_end = links(a, b, tok)
-    place = np.searchsorted(known, _pair(x, y))
-    unit = np.searchsorted(a_end[np.cumsum(n_a) - 1], ends, "left")
-    n = units.num_rows
-    count_sum = np.add.reduceat(times[place], np.searchsorted(unit, np.arange(n)))
-    texts, n_groups = group_texts(a, b, a_end, b_end, n_a, n_b, tok)
-    whole = units.column("whole").to_pylist()
-    return pa.Table.from_arrays(
-        [units.column("rid"), units.column("key"), units.column("whole"), units.column("at"),
-         pa.array(n_a), pa.array(n_b), pa.array(n_groups.astype(np.int64)),
-         pa.array(np.bincount(unit, minlength=n)),
-         pa.array(np.bincount(unit, best[place], minlength=n).astype(np.int64)),
-         pa.array(count_sum),
-         pa.array([hashlib.sha256(t.encode()).hexdigest() if w else None
-                   for t, w in zip(texts, whole)], pa.string()),
-         pa.array([None if w else zipped(t.encode()) for t, w in zip(texts, whole)],
-                  pa.binary())], schema=schema)
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``counts`` values each."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
+
+
+def _figures(rows: pa.Table, totals: pa.Table, key: pa.DataType) -> pa.Table:
+    """A block's units with what the corpus totals of its pairs give."""
+    schema = _result_schema(key)
+    rows = rows.sort_by([("kind", "ascending"), ("j", "ascending")])    # the block row first
+    head, units = rows.slice(0, 1), rows.slice(1)
+    order = np.argsort(totals.column("pair").to_numpy())
+    times = totals.column("times").to_numpy()[order]
+    best = totals.column("best").to_numpy(zero_copy_only=False)[order].astype(np.int64)
+    place, each, items, n_items = (_load(head.column(x)[0].as_py())
+                                   for x in ("links", "n_each", "items", "n_items"))
+    done = {x: units.column(x) for x in schema.names if x in units.column_names}
+    for name, by_pair in (("n_best", best), ("count_sum", times)):
+        done[name] = pa.array(_sums(_sums(by_pair[place], each)[items], n_items))
+    return pa.Table.from_arrays([done[x] for x in schema.names], schema=schema)
 
 
 def _stream(batches, key: pa.DataType):
@@ -504,12 +586,12 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     pieces = first.filter("kind = 'piece'").select("rid", "key", "j", "at", "a", "b_at", "b")
     level = stash(pieces.repartition(parts, "rid", "j").mapInArrow(
         lambda it: _pieces(it, raw_a.value, raw_b.value, pa_key), schema), "align-pieces")
-    closed = [level.filter("kind = 'unit'")]
+    closed = [level.filter("kind = 'closed'")]
     last = level.filter("kind = 'open'")
     while (last.agg(F.max("j")).first()[0] or 0) > 0:
         level = stash(last.groupBy("rid", F.floor(F.col("j") / fan).alias("to")).applyInArrow(
             lambda t: _reduce(t, raw_a.value, raw_b.value, pa_key, fan), schema), "align-level")
-        closed.append(level.filter("kind = 'unit'"))
+        closed.append(level.filter("kind = 'closed'"))
         last = level.filter("kind = 'open'")
     units = functools.reduce(DataFrame.unionByName, closed)
     good = last.filter("ok").select("rid")
@@ -517,7 +599,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
         lambda it: _reblock(it, raw_a.value, raw_b.value, block, pa_key), schema), "align-long")
 
     both = first.unionByName(long)
-    pairs = stash(both.filter("kind = 'pairs'").select(
+    pairs = stash(both.filter("kind = 'block'").select(
         "block", F.explode(F.arrays_zip("pairs", "times")).alias("x"))
         .select("block", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times")),
         "align-pairs")
@@ -527,11 +609,13 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     totals = stash(counts.join(most, id_b == F.col("id")).select(
         "pair", "times", (F.col("times") == F.col("most")).alias("best")), "align-totals")
     own = pairs.select("block", "pair").join(totals, "pair")
+    given = ["rid", "key", "whole", "at", *FIGURES[:4], "groups_sha256", "groups"]
     result = ", ".join(f"{x} long" for x in FIGURES)
     found = stash(
-        both.filter("kind = 'unit'").select("block", "rid", "key", "whole", "at", "a", "b")
+        both.filter("kind IN ('block', 'unit')")
+        .select("block", "kind", "j", *given, "links", "n_each", "items", "n_items")
         .groupBy("block").cogroup(own.groupBy("block")).applyInArrow(
-            lambda x, y: _figures(x, y, raw_a.value, raw_b.value, pa_key),
+            lambda x, y: _figures(x, y, pa_key),
             f"rid long, key {kind}, whole boolean, at long, {result}, groups_sha256 string, "
             "groups binary"), "align-figures")
     streams = (found.filter(~F.col("whole")).select("rid", "key", "at", *FIGURES, "groups")
