@@ -52,7 +52,8 @@ from rankloom.llm.vocabulary import Vocabulary, ragged, read
 CHUNK = 64 << 10           # bytes of text in a chunk; shorter texts are whole
 BLOCK = 8 << 20            # bytes of text whose pairs are counted together
 TABLE = 48 << 20           # bytes of words and links that a worker remembers
-SLICE = 2 << 20            # bytes of text tokenized at once
+SLICE = 2 << 20            # bytes of text worked on at once
+JOINED = 50_000            # characters of new words tokenized side by side
 FAN = 16                   # neighbours composed by one task
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -299,41 +300,58 @@ class Elements:
         self.links = np.zeros(0, np.int64)
         self.size = 0
 
-    def _add(self, a: list[np.ndarray], b: list[np.ndarray], fine: np.ndarray) -> None:
-        """Streams that are spelled alike by both (where ``fine``) as new elements."""
-        none = np.zeros(0, np.int64)
-        xs = [x if ok else none for x, ok in zip(a, fine)]
-        ys = [y if ok else none for y, ok in zip(b, fine)]
-        n_a, n_b = (np.array([len(x) for x in z], np.int64) for z in (xs, ys))
-        a, b = np.concatenate(xs), np.concatenate(ys)
+    def _add(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
+             fine: np.ndarray) -> np.ndarray:
+        """Streams of n_a and n_b tokens each as new elements; those that are not ``fine`` have
+        no tokens."""
         ends, x, y, a_end, b_end = links(a, b, self.tok)
         texts, n_groups = group_texts(a, b, a_end, b_end, n_a, n_b, self.tok)
         stop = np.concatenate([[0], a_end])[np.cumsum(n_a)]
         n_links = np.diff(np.concatenate([[0], np.searchsorted(ends, stop, "right")]))
+        first = len(self.texts)
         self.texts += texts
         self.columns = [np.concatenate([old, new]) for old, new in
                         zip(self.columns, (n_a, n_b, n_groups, n_links))]
         self.fine = np.concatenate([self.fine, fine])
         self.links = np.concatenate([self.links, _pair(x, y)])
         self.size += sum(map(len, texts)) + 8 * len(ends) + 150 * len(texts)
+        return np.arange(first, len(self.texts))
 
     def add_texts(self, texts: list[str]) -> np.ndarray:
-        tok, first = self.tok, len(self.texts)
+        tok, none = self.tok, np.zeros(0, np.int64)
         a, b = tok.encode_a([" " + t for t in texts]), tok.encode_b(texts)
         spaced = [(" " + t).encode() for t in texts]
-        self._add(a, b, spelled(tok.a, a, spaced) & spelled(tok.b, b, spaced))
-        return np.arange(first, len(self.texts))
+        fine = spelled(tok.a, a, spaced) & spelled(tok.b, b, spaced)
+        a, b = ([x if ok else none for x, ok in zip(z, fine)] for z in (a, b))
+        return self._add(np.concatenate(a), np.concatenate(b), *(
+            np.array([len(x) for x in z], np.int64) for z in (a, b)), fine)
+
+    def add_words(self, words: list[str]) -> np.ndarray:
+        """Words without white space at their ends: tokenized side by side in one text."""
+        tok = self.tok
+        joined = " " + " ".join(words)
+        want = np.frombuffer(joined.encode(), np.uint8)
+        a, b = tok.encode_a([joined])[0], tok.encode_b([joined[1:]])[0]
+        for table, ids in ((tok.a, a), (tok.b, b)):
+            if table.length[ids].sum() != len(want) or (table.spell(ids) != want).any():
+                return self.add_texts(words)
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        n_a, n_b = (np.diff(np.searchsorted(np.cumsum(table.length[ids]), ends, "right"), prepend=0)
+                    for table, ids in ((tok.a, a), (tok.b, b)))
+        return self._add(a, b, n_a, n_b, np.ones(len(words), bool))
 
     def add_stream(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        self._add([a], [b], np.ones(1, bool))
-        return np.array([len(self.texts) - 1])
+        return self._add(a, b, np.array([len(a)]), np.array([len(b)]), np.ones(1, bool))
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
         """The elements of each text, in order."""
         words = [None if self.tok.apart is False or _ODD.search(" " + t) else t.split(" ")
                  for t in texts]
         new = list({w for ws in words if ws for w in ws if w not in self.index})
-        if new:
+        plain = [w for w in new if not (w[:1].isspace() or w[-1:].isspace())]
+        for lo, hi in slices([len(w) for w in plain], JOINED):
+            self.index |= zip(plain[lo:hi], self.add_words(plain[lo:hi]).tolist())
+        if new := [w for w in new if w not in self.index]:
             self.index |= zip(new, self.add_texts(new).tolist())
         odd = [t for t, ws in zip(texts, words) if ws is None]
         rest = iter(self.add_texts(odd) if odd else ())
