@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from rankloom.operators.ratings import active_ratings
 from rankloom.operators.sampling import split_by_hash
+from rankloom.operators.skew import semi_join
+from rankloom.operators.topk import topk_by_norm
 
 # The reference's ALS settings.
 RANK, MAX_ITER, REG_PARAM, CHECKPOINT_INTERVAL = 15, 5, 0.1, 2
@@ -85,19 +87,26 @@ def rmse(predictions: DataFrame) -> float:
                                predictionCol="prediction").evaluate(predictions)
 
 
-def _flatten(recs: DataFrame, key: str, other: str) -> DataFrame:
-    return recs.select(key, F.inline("recommendations")).select(
-        key, F.col(other), F.col("rating").cast("double").alias("alsRawScore"))
+def _best(queries: DataFrame, targets: DataFrame, k: int, query: str, target: str) -> DataFrame:
+    """Best ``k`` targets of every query by the model's prediction (the inner product of the
+    factors): targets in buckets of falling norm instead of all pairs of factor blocks."""
+    def factors(df):
+        return df.select("id", F.col("features").alias("vector"))
+
+    best = topk_by_norm(factors(queries), factors(targets), k, query, target)
+    # the model's predictions are floats
+    return best.select(query, F.col(target).cast("int").alias(target),
+                       F.col("score").cast("float").cast("double").alias("alsRawScore"))
 
 
 def user_topk(model: ALSModel, k: int = TOP_USERS) -> DataFrame:
     """(userId, itemId, alsRawScore): best ``k`` items of every user."""
-    return _flatten(model.recommendForAllUsers(k), "userId", "itemId")
+    return _best(model.userFactors, model.itemFactors, k, "userId", "itemId")
 
 
 def item_topk(model: ALSModel, k: int = TOP_ITEMS) -> DataFrame:
     """(itemId, userId, alsRawScore): best ``k`` users of every item."""
-    return _flatten(model.recommendForAllItems(k), "itemId", "userId")
+    return _best(model.itemFactors, model.userFactors, k, "itemId", "userId")
 
 
 def candidates_for(model: ALSModel, users: DataFrame, n: int = SUBSET_CANDIDATES) -> DataFrame:
@@ -105,8 +114,8 @@ def candidates_for(model: ALSModel, users: DataFrame, n: int = SUBSET_CANDIDATES
 
     Users unknown to the model get no rows (see ``uncovered_users``).
     """
-    return _flatten(model.recommendForUserSubset(users.select("userId").distinct(), n),
-                    "userId", "itemId")
+    asked = semi_join(model.userFactors, users.select(F.col("userId").alias("id")), "id")
+    return _best(asked, model.itemFactors, n, "userId", "itemId")
 
 
 def uncovered_users(model: ALSModel, users: DataFrame) -> DataFrame:

@@ -39,21 +39,6 @@ def bounded_array(df: DataFrame, max_rows: int, what: str = "table",
     return F.from_json(F.lit(payload), ArrayType(df.schema)), keys
 
 
-def bounded_blocks(df: DataFrame, block: int, max_rows: int | None = None, what: str = "table",
-                   key: str | None = None) -> tuple[list[Column], list]:
-    """``df``, a table that an ordered limit has bounded, as array<struct> literals of at most
-    ``block`` rows each, plus the values of column ``key``."""
-    rows = (df if max_rows is None else df.limit(max_rows + 1)).collect()
-    if max_rows is not None and len(rows) > max_rows:
-        raise ValueError(f"{what} has more than {max_rows} rows; refusing to attach it")
-    out = []
-    for i in range(0, len(rows), block):
-        payload = json.dumps([{k: _json_value(v) for k, v in r.asDict().items()}
-                              for r in rows[i:i + block]])
-        out.append(F.from_json(F.lit(payload), ArrayType(df.schema)))
-    return out, [r[key] for r in rows] if key else []
-
-
 def bounded_ids(df: DataFrame, col: str, max_rows: int | None = None, what: str = "table") -> list:
     """The values of ``col`` of a table bounded by an ordered limit (checked if
     ``max_rows`` is given)."""

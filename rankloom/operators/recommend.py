@@ -4,8 +4,8 @@
 * cold users with a taste profile: cosine to a popular-item pool (``w2v_personalized``)
 * everyone else: the global popularity top-k (``popularity_fallback``)
 
-Ranking inside a user's list is done on arrays of at most pool-size entries, or
-with a per-user window whose rows per user are bounded by the candidate count.
+Cold users are scored against the pool as matrices (``topk``); candidate lists are ranked by
+a per-user window whose rows per user are bounded by the candidate count.
 """
 
 from __future__ import annotations
@@ -15,19 +15,19 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.functions.scoring import TASTE_WEIGHTS, log_count, popularity_blend
-from rankloom.functions.vectors import dot, l2_norm
-from rankloom.operators.bounded import bounded_array, bounded_blocks, bounded_ids
+from rankloom.functions.scoring import TASTE_WEIGHTS, log_count, popularity_blend, taste_blend
+from rankloom.functions.vectors import l2_norm
+from rankloom.operators.bounded import bounded_array, bounded_ids
 from rankloom.operators.ratings import WARM_MIN_RATINGS, user_activity
 from rankloom.operators.sampling import sample_keys
 from rankloom.operators.skew import semi_join
+from rankloom.operators.topk import targets_of, topk_bounded
 
 # Source tags, defaults for missing item data, pool and list sizes.
 SOURCE_WARM, SOURCE_COLD, SOURCE_FALLBACK = "als_gbt", "w2v_personalized", "popularity_fallback"
 DEFAULT_AVG_RATING = 3.0
 DEFAULT_COUNT = 1
 POOL_MIN_RATINGS, POOL_SIZE, TOP_K = 10, 1000, 10
-POOL_BLOCK = 1000        # pool items scored as one array
 REC_COLUMNS = ["userId", "itemId", "hybridScore", "alsScore", "w2vScore", "source", "rank"]
 
 
@@ -182,54 +182,33 @@ def recommend_cold(profiles: DataFrame, pool: DataFrame, ratings: DataFrame | No
     ``ratings``.  ``digits`` rounds the score before ranking so that engines with
     different float summation agree.
 
-    The pool is attached to every profile row in blocks of ``POOL_BLOCK`` items, each
-    an array; a block's best k join the best of the others, all by array functions on
-    that row, so the plan has no users × pool row explosion and no shuffle after the
-    profiles, whatever the pool's size.  ``max_pool``, if given, is checked.
+    Profiles of a batch are one matrix, multiplied with blocks of the pool's matrix
+    (``topk``): the item-only terms of the blend are the targets' bias, and blocks whose
+    bound is below a user's k-th score are skipped.  No users × pool rows and no shuffle
+    after the profiles.  The pool's size is checked (bytes, and ``max_pool`` if given).
     """
-    w_sim, w_rate, w_pop = TASTE_WEIGHTS
-    # the item-only terms of the blend are computed once per pool item
+    norm = l2_norm("embedding")
     pool_rows = pool.select(
-        "itemId", F.col("embedding").alias("emb"), l2_norm("embedding").alias("norm"),
-        ((F.col("itemAvgRating") / F.lit(5.0)) * w_rate).alias("rate_part"),
-        ((F.col("logItemPop") / F.lit(10.0)) * w_pop).alias("pop_part"))
-    blocks, ids = bounded_blocks(pool_rows, POOL_BLOCK, max_pool, "candidate pool", key="itemId")
-    users = profiles.select("userId", "profile", l2_norm("profile").alias("_pn"),
-                            *(["seen"] if "seen" in profiles.columns else []))
-    if not exclude_seen:
-        seen_col = F.lit(None).cast("array<int>")
-    elif "seen" in profiles.columns:
-        seen_col = F.col("seen")
-    elif ratings is not None:
+        "itemId", norm.alias("norm"),
+        F.transform("embedding", lambda x: F.when(norm == 0, 0.0).otherwise(x / norm)).alias("unit"),
+        taste_blend(F.lit(0.0), "itemAvgRating", "logItemPop").alias("rest"))
+    targets = targets_of(pool_rows, "unit", "rest", ("norm",), max_rows=max_pool,
+                         what="candidate pool")
+    users = profiles.select("userId", "profile", *(["seen"] if "seen" in profiles.columns else []))
+    if exclude_seen and "seen" not in profiles.columns and ratings is not None:
+        ids = targets.ids.tolist()
         seen = (ratings.select("userId", "itemId").filter(F.col("itemId").isin(ids))
                 .join(profiles.select("userId"), "userId", "left_semi")
-                .groupBy("userId").agg(F.collect_set("itemId").alias("_seen")))
+                .groupBy("userId").agg(F.collect_set("itemId").alias("seen")))
         users = users.join(seen, "userId", "left")
-        seen_col = F.col("_seen")
-    else:
-        seen_col = F.lit(None).cast("array<int>")
-    seen_arr = F.coalesce(seen_col, F.array().cast("array<int>"))
-
-    def entry(p: Column) -> Column:
-        sim = F.when((F.col("_pn") == 0.0) | (p["norm"] == 0.0), F.lit(0.0)).otherwise(
-            dot("profile", p["emb"]) / (F.col("_pn") * p["norm"]))
-        score = sim * w_sim + p["rate_part"] + p["pop_part"]
-        if digits is not None:
-            score = F.round(score, digits)
-        return F.struct((-score).alias("neg"), p["itemId"].alias("itemId"),
-                        score.alias("score"), p["norm"].alias("w2v"))
-
-    best = [F.transform(_top_k_array(F.transform(
-        F.filter(block, lambda p: ~F.array_contains(seen_arr, p["itemId"])), entry), k, ties),
-        lambda t: t["e"]) for block in blocks]
-    if not best:
+    if not len(targets.ids):
         return _no_recs(users.sparkSession)
-    top = _top_k_array(F.concat(*best) if len(best) > 1 else best[0], k, ties)
-    return (users.select("userId", F.explode(top).alias("t"))
-            .select("userId", F.col("t.e.itemId").alias("itemId"),
-                    F.col("t.e.score").alias("hybridScore"), F.lit(0.0).alias("alsScore"),
-                    F.col("t.e.w2v").alias("w2vScore"), F.lit(SOURCE_COLD).alias("source"),
-                    F.col("t.rank").cast("int").alias("rank")))
+    best = topk_bounded(users, targets, k, "userId", "profile", weight=TASTE_WEIGHTS[0], unit=True,
+                        ties=ties, digits=digits,
+                        without="seen" if exclude_seen and "seen" in users.columns else None)
+    return best.select("userId", F.col("itemId").cast(pool.schema["itemId"].dataType).alias("itemId"),
+                       F.col("score").alias("hybridScore"), F.lit(0.0).alias("alsScore"),
+                       F.col("norm").alias("w2vScore"), F.lit(SOURCE_COLD).alias("source"), "rank")
 
 
 def _no_recs(spark) -> DataFrame:
