@@ -1,18 +1,27 @@
 """Item text: per-item documents, tokens and stop-word removal.
 
-Two shapes are offered.  ``item_documents`` is the classic one-row-per-item
-table with the concatenated text.  ``item_text_parts`` keeps one row per review;
+Three shapes are offered.  ``item_documents`` is the classic one-row-per-item
+table with the concatenated text.  ``item_document_chunks`` is the same text in chunks of
+bounded size, for items of any size.  ``item_text_parts`` keeps one row per review;
 token and embedding work runs on it and aggregates numbers and vectors per item, so
 no task ever has to hold the texts of a very popular item.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankloom.sources.tables import kept
+
 MIN_DOC_CHARS = 10
+CHUNK_CHARS = 1 << 16
+_BATCH_CHARS = 4 << 20
+_CHUNKS = pa.schema([("asin", pa.string()), ("part", pa.int32()), ("at", pa.int64()),
+                     ("chars", pa.int64()), ("text", pa.string()), ("edge", pa.bool_())])
 
 # Spark ML's default English stop-word list (StopWordsRemover,
 # "english"), as text for the SQL oracle; the operator loads Spark's own list.
@@ -60,6 +69,82 @@ def item_documents(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFram
     return docs.filter(F.col("_len") > min_chars).drop("_len")
 
 
+def item_document_chunks(clean: DataFrame, min_chars: int = MIN_DOC_CHARS,
+                         chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """(asin, at, text): the documents of ``item_documents`` in chunks of at most
+    ``chunk_chars`` characters; an item's texts one after another by ``at`` (the place of the
+    chunk's first character) are its document.
+
+    Segmented concatenation: parts are range-sorted by item and order, so a hot item is
+    spread over many tasks, and texts are shuffled once.  A task joins what it reads in order and
+    writes chunks with their place in its own share of the item.  Only an item that goes on
+    from one range into the next needs more: what came before it, a prefix sum over ranges
+    (one row a range).
+    """
+    if chunk_chars <= min_chars:
+        raise ValueError("a chunk must be longer than min_chars")
+    parts = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["asin", "unixReviewTime", "reviewerID", F.md5("text")]
+    rows = _texts(clean).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+    def join(batches):
+        part = TaskContext.get().partitionId()
+        done, waiting = [], 0
+        item, held, size, at, inner, total = None, [], 0, 0, False, 0
+
+        def flush(edge: bool) -> None:
+            nonlocal held, size, at, waiting
+            done.append((item, part, at, size, "".join(held), edge))
+            at, waiting, held, size = at + size, waiting + size, [], 0
+
+        def out():
+            nonlocal done, waiting
+            rows, done, waiting = done, [], 0
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, f.type) for x, f in zip(zip(*rows), _CHUNKS)], schema=_CHUNKS)
+
+        for batch in batches:
+            for asin, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if asin != item:
+                    # an item that neither begins nor ends the range is whole: decided here
+                    if item is not None and (not inner or total > min_chars):
+                        flush(not inner)
+                    inner, item, held, size, at, total = item is not None, asin, [], 0, 0, 0
+                else:
+                    text = " " + text
+                total += len(text)
+                while size + len(text) > chunk_chars:
+                    held.append(text[:chunk_chars - size])
+                    text, size = text[chunk_chars - size:], chunk_chars
+                    flush(not inner)
+                held.append(text)
+                size += len(text)
+                if waiting > _BATCH_CHARS:
+                    yield out()
+        if item is not None:
+            flush(True)
+            yield out()
+
+    found = kept(rows.select("asin", "text").mapInArrow(
+        join, "asin string, part int, at long, chars long, text string, edge boolean"),
+        "item-chunks")
+    # the first and the last item of each range: at most two rows a range
+    shares = (found.groupBy("asin", "part")
+              .agg(F.sum("chars").alias("chars"), F.max("edge").alias("edge")).filter("edge"))
+    before = Window.partitionBy("asin").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.select(
+        "asin", "part", (F.coalesce(F.sum("chars").over(before), F.lit(0))
+                         + F.count(F.lit(1)).over(before)).alias("before"),
+        (F.sum("chars").over(Window.partitionBy("asin"))
+         + F.count(F.lit(1)).over(Window.partitionBy("asin")) - 1).alias("total"))
+    joined = found.join(F.broadcast(shares), ["asin", "part"], "left")
+    goes_on = F.coalesce(F.col("before") > 0, F.lit(False))
+    first = goes_on & (F.col("at") == 0)           # the blank between the shares comes with it
+    return joined.filter(F.coalesce(F.col("total") > min_chars, F.lit(True))).select(
+        "asin", (F.col("at") + F.coalesce("before", F.lit(0)) - first.cast("int")).alias("at"),
+        F.concat(F.when(first, " ").otherwise(""), "text").alias("text")).filter(F.col("text") != "")
+
+
 def item_text_stats(clean: DataFrame, min_chars: int = MIN_DOC_CHARS) -> DataFrame:
     """(asin, reviewCount, avgRating, docChars) for items whose joined text would be longer
     than ``min_chars``.  One grouped aggregate over numbers: no text in any buffer."""

@@ -15,7 +15,6 @@ carries on only the queries that the next bucket can still change.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.vectors import l2_norm
-from rankloom.session import scratch_path
+from rankloom.sources.tables import kept
 
 BLOCK = 256                    # targets scored at once
 BATCH = 2048                   # queries of a matrix
@@ -221,13 +220,6 @@ _STATE = "vector array<double>, norm double, best array<struct<id:long,score:dou
          "kth double, scored long"
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared checkpoint folder and read back."""
-    path = scratch_path(df.sparkSession, f"topk/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def norm_buckets(targets: DataFrame, rows: int, n: int) -> tuple[DataFrame, list[tuple[int, float]]]:
     """``targets`` (id, vector, norm; n of them) with a column ``bucket`` of about ``rows`` rows
     each, and (bucket, largest norm) from the largest norms down."""
@@ -245,7 +237,7 @@ def norm_buckets(targets: DataFrame, rows: int, n: int) -> tuple[DataFrame, list
     for v, share in shares.items():
         bucket = F.when(level == v, F.lit(start[v]) + F.pmod(
             F.xxhash64("id"), F.lit(share)).cast("int")).otherwise(bucket)
-    out = _kept(targets.withColumn("bucket", bucket), "buckets")
+    out = kept(targets.withColumn("bucket", bucket), "topk-buckets")
     found = out.groupBy("bucket").agg(F.max("norm").alias("top")).orderBy(F.desc("top"), "bucket")
     return out, [(r["bucket"], r["top"]) for r in found.collect()]              # one row a bucket
 
@@ -311,7 +303,7 @@ def topk_by_norm(queries: DataFrame, targets: DataFrame, k: int, query: str = "u
         chunk = spark.sparkContext.broadcast(targets_of(rows, "vector", key="id", what="bucket"))
         state = state.mapInArrow(against(chunk), f"id {kind}, {_STATE}")
         if len(order) > 1:
-            state = _kept(state, f"round-{i}")
+            state = kept(state, f"topk-round-{i}")
     done.append(state)
     out = done[0]
     for d in done[1:]:

@@ -205,6 +205,7 @@ FROM reviews"""),
     "ratings": sql("""SELECT CAST(u.userIndex AS INT) AS userId, CAST(i.itemIndex AS INT) AS itemId,
        CAST(c.overall AS FLOAT) AS rating, c.unixReviewTime AS timestamp
 FROM clean c JOIN uidx u USING (reviewerID) JOIN iidx i USING (asin)"""),
+    "item_document_chunks": sql("SELECT asin, combinedText, true AS gapless, true AS bounded FROM docs"),
     "item_documents": sql(f"SELECT asin, combinedText, reviewCount, {r6('avgRating')} FROM docs"),
     "item_text_stats": sql(f"SELECT asin, reviewCount, {r6('avgRating')}, docChars FROM tstat WHERE docChars > 10"),
     "part_tokens": sql("SELECT asin, unixReviewTime, reviewerID, partKey, CAST(len(tk) AS BIGINT) AS nTokens, "

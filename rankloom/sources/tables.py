@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rankloom.session import scratch_path
+
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Read a parquet file or a folder of parts; select early so the scan prunes."""
@@ -38,3 +42,11 @@ def write_table(df: DataFrame, path: str, files: int | None = None,
     elif files:
         df = df.repartition(files)
     df.write.mode(mode).parquet(path)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: computed once, lineage cut
+    with files that any executor can read again."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

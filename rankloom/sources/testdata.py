@@ -131,5 +131,8 @@ def duck_with(names: list[str] | tuple[str, ...], body: str) -> str:
         visit(n)
     if not order:
         return body.strip()
-    ctes = ",\n".join(f"{n} AS ({duck_view(n)})" for n in order)
+    # DuckDB 2.0.0 stops with an internal error ("dict-surviving cache") on joined dictionary
+    # columns that are read further on; a table of its own ends the dictionaries
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n == 'reviews' else ''}({duck_view(n)})"
+                      for n in order)
     return f"WITH {ctes}\n{body.strip()}"
