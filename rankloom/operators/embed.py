@@ -15,10 +15,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rankloom.operators.docs import split_tokens, stop_words_remover
 from rankloom.operators.skew import semi_join
+from rankloom.operators.topk import nearest
 from rankloom.sources.models import fit_or_load
 
 # The reference's Word2Vec settings and document filters.
@@ -127,18 +127,9 @@ def probe_words(model: Word2VecModel, n: int = 3) -> list[str]:
 
 
 def synonyms(model: Word2VecModel, words=None, n: int = 5) -> DataFrame:
-    """(query, word, similarity) for the probe words that are in the vocabulary.
-
-    ``findSynonyms`` raises for an unknown word, so the vocabulary is checked first.
-    """
+    """(query, word, similarity): the ``n`` nearest words of every probe word that is in the
+    vocabulary, in one pass over the vectors (see ``topk.nearest``)."""
     words = probe_words(model) if words is None else words
-    vocab = model.getVectors().filter(F.col("word").isin(list(words))).select("word")
-    found = sorted(r["word"] for r in vocab.collect())          # at most len(words) rows
-    spark = model.getVectors().sparkSession
-    out = spark.createDataFrame([], T.StructType([
-        T.StructField("query", T.StringType()), T.StructField("word", T.StringType()),
-        T.StructField("similarity", T.DoubleType())]))
-    for w in found:
-        out = out.unionByName(model.findSynonyms(w, n).select(
-            F.lit(w).alias("query"), "word", F.col("similarity").cast("double")))
-    return out
+    vectors = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return nearest(vectors, vectors.filter(F.col("word").isin(list(words))), n, "word",
+                   "vector").drop("rank")

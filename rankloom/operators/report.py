@@ -16,6 +16,7 @@ from rankloom.functions.scoring import (
     COLD_MAX, POWER_MIN, clamp, product_url, rmse_quality, segment_label, unknown_label,
 )
 from rankloom.operators.sampling import sample_per_group
+from rankloom.operators.skew import heavy_lookup_join, lookup_join
 
 # List length bounds for lookups, rounding of served scores.
 MIN_N, MAX_N, DEFAULT_N = 1, 10, 10
@@ -116,22 +117,42 @@ def segment_share(activity: DataFrame) -> DataFrame:
                          .alias("sharePct"))
 
 
-def enrich_recs(recs: DataFrame, item_index: DataFrame | None, item_meta: DataFrame | None) -> DataFrame:
+def item_facts(item_index: DataFrame | None, item_meta: DataFrame | None) -> DataFrame | None:
+    """(itemId, asin, _avg, _cnt), one row an item: its key and its numbers; null without any
+    table.  An item without a key goes by its ``UNKNOWN_`` label, in ``item_meta`` too."""
+    if item_index is None and item_meta is None:
+        return None
+    none = [F.lit(None).cast("double").alias("_avg"), F.lit(None).cast("long").alias("_cnt")]
+    idx = None if item_index is None else item_index.select(
+        F.col("itemIndex").cast("int").alias("itemId"), "asin")
+    if item_meta is None:
+        return idx.select("itemId", "asin", *none)
+    meta = item_meta.select("asin", F.col("avgRating").alias("_avg"),
+                            F.col("reviewCount").alias("_cnt")).dropDuplicates(["asin"])
+    number = F.regexp_extract("asin", "(-?[0-9]+)$", 1).try_cast("int")
+    labelled = meta.withColumn("itemId", number).filter(F.col("asin") == unknown_label("itemId"))
+    if idx is None:
+        return labelled.select("itemId", "asin", "_avg", "_cnt")
+    return idx.join(meta, "asin", "left").select("itemId", "asin", "_avg", "_cnt").unionByName(
+        labelled.join(idx, "itemId", "left_anti").select("itemId", "asin", "_avg", "_cnt"))
+
+
+def enrich_recs(recs: DataFrame, item_index: DataFrame | None, item_meta: DataFrame | None,
+                split_heavy: bool = True) -> DataFrame:
     """Attach asin (or ``UNKNOWN_<id>``), item rating/review count (0 when unknown),
-    rounded scores and the product URL to recommendation rows."""
-    out = recs
-    if item_index is not None:
-        idx = item_index.select(F.col("itemIndex").cast("int").alias("itemId"), "asin")
-        out = out.join(idx, "itemId", "left")
+    rounded scores and the product URL to recommendation rows.
+
+    Item tables are joined first, so recommendations are shuffled once; those of items in very
+    many lists (the fallback's ten) are not shuffled at all (``skew.heavy_lookup_join``;
+    ``split_heavy=False`` saves its count where ``recs`` is known to be small).
+    """
+    facts = item_facts(item_index, item_meta)
+    if facts is None:
+        out = recs.select("*", F.lit(None).cast("string").alias("asin"),
+                          F.lit(None).cast("double").alias("_avg"), F.lit(None).cast("long").alias("_cnt"))
     else:
-        out = out.withColumn("asin", F.lit(None).cast("string"))
+        out = (heavy_lookup_join if split_heavy else lookup_join)(recs, facts, "itemId")
     out = out.withColumn("asin", F.coalesce("asin", unknown_label("itemId")))
-    if item_meta is not None:
-        meta = item_meta.select("asin", F.col("avgRating").alias("_avg"),
-                                F.col("reviewCount").alias("_cnt")).dropDuplicates(["asin"])
-        out = out.join(meta, "asin", "left")
-    else:
-        out = out.withColumn("_avg", F.lit(None).cast("double")).withColumn("_cnt", F.lit(None).cast("long"))
     return out.select(
         "userId", F.col("rank").cast("int").alias("rank"), "itemId", "asin",
         F.round("hybridScore", SCORE_DIGITS).alias("hybridScore"),
@@ -156,7 +177,7 @@ def lookup_recs(requests: DataFrame, recs: DataFrame, activity: DataFrame,
                                    F.lit(DEFAULT_N)), MIN_N, MAX_N).alias("topN"))
     wanted = recs.join(req.select("userId").distinct(), "userId", "left_semi").filter(
         F.col("rank") <= MAX_N)
-    listed = enrich_recs(wanted, item_index, item_meta)
+    listed = enrich_recs(wanted, item_index, item_meta, split_heavy=False)
     # the source a user is served by: that of the first row (a user's rows share it)
     first = (wanted.filter(F.col("rank") == 1).groupBy("userId")
              .agg(F.min_by("source", "itemId").alias("userSource")))

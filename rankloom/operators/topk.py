@@ -19,8 +19,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankloom.functions.vectors import l2_norm
 from rankloom.sources.tables import kept
@@ -311,3 +312,93 @@ def topk_by_norm(queries: DataFrame, targets: DataFrame, k: int, query: str = "u
     return out.select(F.col("id").alias(query), "scored", F.posexplode("best").alias("p", "b")).select(
         query, F.col("b.id").alias(target), F.col("b.score").alias("score"),
         (F.col("p") + 1).cast("int").alias("rank"), "scored")
+
+
+# ---- many targets, few queries -----------------------------------------------------------------
+
+def _number(key: Column, kind: T.DataType) -> Column:
+    """A key as a number that orders equal scores: itself if it is one, else its hash."""
+    return (key if isinstance(kind, T.IntegralType) else F.xxhash64(key)).cast("long")
+
+
+def nearest(table: DataFrame, queries: DataFrame, k: int, key: str, vector: str,
+            digits: int | None = None, query: str = "query", score: str = "similarity",
+            max_bytes: int = MAX_TARGET_BYTES) -> DataFrame:
+    """(query, key, score, rank): the ``k`` rows of ``table`` with the largest cosine to each row
+    of ``queries``, the row of its own key left out.  Both have (key, vector).
+
+    Every task goes over its rows of ``table`` once and holds the best ``k`` of each query, so
+    tasks * queries * k rows are shuffled.  Queries are shipped in parts of at most about
+    ``max_bytes``, one pass over the table each.  Equal scores go by the key (its hash, if it
+    isn't a number); a null, zero or differently long vector has cosine 0 with all.
+    """
+    kind = table.schema[key].dataType
+
+    def rows(df):
+        v = F.col(vector).cast("array<double>")
+        return df.select(F.col(key).alias("key"), _number(F.col(key), kind).alias("id"),
+                         v.alias("vector"))
+
+    asked, found = rows(queries), rows(table)
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
+    width = max(size["d"] or 0, 0)
+    parts = max(1, -(-size["n"] * 16 * (width + 4) // max_bytes))
+    out = None
+    for i in range(parts):
+        share = asked.filter(F.pmod(F.xxhash64("key"), F.lit(parts)) == i) if parts > 1 else asked
+        local = share.collect()                     # about max_bytes
+        ids = np.array([r["id"] for r in local], np.int64)
+        q = _unit(_padded([r["vector"] for r in local], width))
+        shipped = table.sparkSession.sparkContext.broadcast((ids, q, [r["key"] for r in local]))
+        best = found.mapInArrow(_scan(shipped, width, k, digits),
+                                f"query {kind.simpleString()}, key {kind.simpleString()}, id long, "
+                                "score double")
+        out = best if out is None else out.unionByName(best)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    return (out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .select(F.col("query").alias(query), F.col("key").alias(key),
+                    F.col("score").alias(score), "rank"))
+
+
+def _padded(vectors: list, width: int) -> np.ndarray:
+    """A matrix; a vector that is null, of another length or not finite is zero."""
+    zero = [0.0] * width
+    out = np.array([v if v is not None and len(v) == width and None not in v else zero
+                    for v in vectors], np.float64).reshape(len(vectors), width)
+    out[~np.isfinite(out).all(1)] = 0.0
+    return out
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    norm = np.sqrt((m ** 2).sum(1))
+    return m / np.where(norm == 0, 1.0, norm)[:, None]
+
+
+def _scan(shipped, width: int, k: int, digits: int | None):
+    def run(batches):
+        ids, q, keys = shipped.value
+        runs = [(lo, min(lo + BATCH, len(ids))) for lo in range(0, len(ids), BATCH)]
+        best = [Best(hi - lo, k, False) for lo, hi in runs]
+        names: dict = {}
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field("key").type
+            here = batch.column("key").to_pylist()
+            numbers = batch.column("id").to_numpy()
+            t = Targets(numbers, _unit(_padded(batch.column("vector").to_pylist(), width)),
+                        np.zeros(len(numbers)), {})
+            for i, (lo, hi) in enumerate(runs):
+                best[i], _ = best_of(q[lo:hi], t, k, digits=digits,
+                                     without=(np.arange(hi - lo), ids[lo:hi]), best=best[i])
+            held = np.unique(np.concatenate([b.id for b in best])) if best else ids[:0]
+            new = np.isin(numbers, held)
+            names |= {int(n): here[j] for j, n in zip(np.flatnonzero(new), numbers[new])}
+            if len(names) > 4 * len(held) + 1000:
+                names = {n: names[n] for n in held.tolist()}
+        for (lo, _), b in zip(runs, best):
+            if len(b.row):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[lo + r] for r in b.row.tolist()], kind),
+                     pa.array([names[n] for n in b.id.tolist()], kind), pa.array(b.id),
+                     pa.array(b.score)], ["query", "key", "id", "score"])
+    return run

@@ -351,7 +351,28 @@ LEFT JOIN act a ON a.userId = q.userId"""),
     SELECT DISTINCT r.userId, a.userRatingCount, {SEGMENT.format('a.userRatingCount')} AS segment
     FROM recs r JOIN act a USING (userId)) u) t WHERE rn <= 5"""),
 }
-ORACLE["lookup_stream"] = ORACLE["lookup_recs"]
+ORACLE["lookup_stream"] = ORACLE["lookup_served"] = ORACLE["lookup_recs"]
+
+# Exact areas: rank sums with ties counted half, and straight lines between the points (recall,
+# precision) of the distinct scores.
+ORACLE["auc_exact"] = sql("""SELECT CAST(p + q AS BIGINT) AS n, CAST(p AS BIGINT) AS positives,
+       round(roc / (p * q), 6) AS aucROC, round(area / p, 6) AS aucPR
+FROM (SELECT sum(pos) AS p, sum(neg) AS q, sum(neg * (tp - pos + pos / 2.0::DOUBLE)) AS roc,
+             sum(pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg = 0 THEN tp / (tp + fp)
+                                             ELSE (tp - pos) / (tp - pos + fp - neg) END) / 2) AS area
+      FROM (SELECT *, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w AS DOUBLE) AS fp
+            FROM (SELECT round(alsScore, 2) AS score, count(*) FILTER (WHERE label > 0.5) AS pos,
+                         count(*) FILTER (WHERE label <= 0.5) AS neg FROM labeled GROUP BY 1)
+            WINDOW w AS (ORDER BY score DESC)))""")
+ORACLE["nearest_vectors"] = sql(f"""
+SELECT query, id, similarity, CAST(rank AS INT) AS rank FROM (
+  SELECT query, id, similarity, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, id) AS rank
+  FROM (SELECT q.vec_id AS query, v.vec_id AS id, round(list_dot_product(qv, vv)
+               / ({NORM.format('qv')} * {NORM.format('vv')}), 6) AS similarity
+        FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id % 100 = 0) q
+        JOIN (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS vv FROM embeddings) v ON q.vec_id <> v.vec_id))
+WHERE rank <= 10""")
+ORACLE["als_hot_items"] = sql("SELECT DISTINCT itemId, true AS solved FROM ratings")
 
 # Fitted models: what the data determine of them.
 ORACLE |= {

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.vectors import cosine, dot, l2_norm
 from rankloom.operators import als as A
+from rankloom.operators import als_salted as SA
 from rankloom.operators import clean as CL
 from rankloom.operators import docs as D
 from rankloom.operators import embed as EM
@@ -23,9 +24,11 @@ from rankloom.operators import ratings as R
 from rankloom.operators import recommend as REC
 from rankloom.operators import report as RP
 from rankloom.operators import sampling as S
+from rankloom.operators.metrics import ranking_metrics
+from rankloom.operators.topk import nearest
 from rankloom.plans.fixture import DIGITS, Fixture, rounded
 from rankloom.session import scratch_path
-from rankloom.sources import read_reviews, read_table, write_table
+from rankloom.sources import read_reviews, read_serving, read_table, write_serving, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -212,6 +215,14 @@ def embedding_dot(fx):
     return rounded(p.select("userId", "itemId", dot("profile", "embedding").alias("dot")))
 
 
+@query
+def nearest_vectors(fx):
+    """The ten nearest vectors, by cosine, of every vector whose id is divisible by 100."""
+    v = fx.view("embeddings").select(F.col("vec_id").cast("long").alias("id"),
+                                     F.col("embedding").alias("vector"))
+    return nearest(v, v.filter(F.col("id") % 100 == 0), 10, "id", "vector", digits=DIGITS)
+
+
 @query
 def user_profiles(fx):
     return rounded(fx.profiles.select("userId", F.posexplode("profile").alias("pos", "value"))
@@ -249,6 +260,13 @@ def positive_rate(fx):
     return rounded(FE.label_counts(_labeled(fx)))
 
 
+@query
+def auc_exact(fx):
+    """Exact areas of a stand-in score (the rounded ALS score, so with many ties)."""
+    scored = _labeled(fx).select(F.round("alsScore", 2).alias("score"), "label")
+    return rounded(ranking_metrics(scored))
+
+
 @query
 def balanced_training_set(fx):
     return rounded(FE.balanced_training_set(_labeled(fx)))
@@ -419,6 +437,20 @@ def lookup_recs(fx):
                                 for c in out.columns]))
 
 
+@query
+def lookup_served(fx):
+    """``lookup_recs`` from recommendations stored in buckets: the files of the requested users."""
+    path = scratch_path(fx.spark, f"serving-{uuid.uuid4().hex}")
+    write_serving(fx.view("recs"), path, buckets=32)
+    req = fx.view("customer").select(F.col("c_custkey").cast("int").alias("userId"),
+                                     (F.col("c_custkey") % 12).cast("int").alias("n"))
+    out = RP.lookup_recs(req, read_serving(fx.spark, path, req, buckets=32), fx.activity,
+                         fx.item_index, fx.item_stats)
+    return rounded(out.select(*[F.col(c).cast("double").alias(c)
+                                if c in ("ratingCount", "rank", "itemId", "reviewCount") else c
+                                for c in out.columns]))
+
+
 @query
 def sample_users_by_segment(fx):
     return RP.sample_users_by_segment(fx.view("recs"), fx.activity)
@@ -465,6 +497,14 @@ def als_candidates(fx):
     return _per(A.candidates_for(m.als, m.ranker_users, 50), "userId")
 
 
+@query
+def als_hot_items(fx):
+    """Salted half-steps on all ratings: whether every item's factors solve its least squares."""
+    ratings = fx.ratings.select("userId", "itemId", "rating")
+    model = SA.train_als_salted(ratings, rank=8, max_iter=3, rows_per_part=20)
+    return SA.residuals(ratings, model).select("itemId", (F.col("residual") < 1e-8).alias("solved"))
+
+
 @query
 def als_item_factors(fx):
     return A.item_factors(_fitted(fx).als).select(

@@ -95,3 +95,35 @@ def test_hot_keys_are_split_in_the_final_plan(skewed, splitting):
         assert any("skew=true" in x for x in joins), joins
     profiles = REC.user_profiles(ratings, users, items)
     assert sum("skew=true" in x for x in final_joins(profiles)) >= 2
+
+
+def test_heavy_keys_are_not_shuffled(spark):
+    from rankloom.operators.skew import heavy_keys, heavy_lookup_join, lookup_join
+    rows = spark.range(9000).selectExpr(
+        "CAST(CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id % 997 END AS INT) AS itemId", "id")
+    table = spark.range(900).selectExpr("CAST(id AS INT) AS itemId", "id * 2 AS v")
+    assert heavy_keys(rows, "itemId", least=1000) == [7]
+    assert heavy_keys(rows, "itemId") == []
+    for how in ("left", "inner"):
+        got = heavy_lookup_join(rows, table, "itemId", how, least=1000)
+        want = lookup_join(rows, table, "itemId", how)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in text.lower() and "IN (7)" in text or "= 7" in text
+
+
+def test_enriched_recommendations_of_heavy_items(spark, monkeypatch):
+    from rankloom.operators import report as RP
+    from rankloom.operators import skew
+    recs = spark.range(6000).selectExpr(
+        "CAST(id AS INT) AS userId", "CAST(CASE WHEN id % 2 = 0 THEN 3 ELSE id % 200 END AS INT) AS itemId",
+        "0.12345D AS hybridScore", "0.0D AS alsScore", "0.0D AS w2vScore", "'x' AS source", "1 AS rank")
+    index = spark.range(100).selectExpr("id AS itemIndex", "concat('A', id) AS asin")
+    meta = spark.createDataFrame([(f"A{i}", 4.5, i) for i in range(0, 100, 2)] + [("UNKNOWN_151", 1.0, 9)],
+                                 "asin string, avgRating double, reviewCount long")
+    plain = sorted(map(str, RP.enrich_recs(recs, index, meta, split_heavy=False).collect()))
+    monkeypatch.setattr(RP, "heavy_lookup_join", lambda *a: skew.heavy_lookup_join(*a, least=1000))
+    assert sorted(map(str, RP.enrich_recs(recs, index, meta).collect())) == plain
+    by_id = {r.itemId: r for r in RP.enrich_recs(recs, index, meta).collect()}
+    assert (by_id[151].asin, by_id[151].reviewCount) == ("UNKNOWN_151", 9)
+    assert (by_id[153].asin, by_id[153].reviewCount, by_id[3].asin) == ("UNKNOWN_153", 0, "A3")

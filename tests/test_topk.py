@@ -116,3 +116,28 @@ def test_bound_is_checked(spark):
     nan = spark.createDataFrame([(1, [float("nan")])], "itemId int, v array<double>")
     with pytest.raises(ValueError):
         T.targets_of(nan, "v")
+
+
+@pytest.mark.parametrize("max_bytes", [T.MAX_TARGET_BYTES, 400])
+def test_nearest_equals_sorting_cosines(spark, max_bytes):
+    r = np.random.default_rng(5)
+    v = {f"w{i:03d}": r.normal(size=4) for i in range(150)}
+    v["same1"] = v["w000"] * 2
+    rows = [(w, x.tolist()) for w, x in v.items()] + [("null", None), ("short", [1.0]), ("zero", [0.0] * 4)]
+    df = spark.createDataFrame(rows, "word string, vector array<double>").repartition(4)
+    asked = ["w000", "w007", "w100", "w149"]
+    got: dict = {}
+    for x in T.nearest(df, df.filter(F.col("word").isin(asked)), 6, "word", "vector",
+                       max_bytes=max_bytes).orderBy("query", "rank").collect():
+        got.setdefault(x["query"], []).append((x["word"], x["similarity"]))
+    v |= {"null": np.zeros(4), "short": np.zeros(4), "zero": np.zeros(4)}
+
+    def cos(a, b):
+        n = np.linalg.norm(a) * np.linalg.norm(b)
+        return float(a @ b / n) if n else 0.0
+
+    for w in asked:
+        want = sorted(((cos(v[w], x), y) for y, x in v.items() if y != w), reverse=True)[:6]
+        assert [y for y, _ in got[w]] == [y for _, y in want]
+        assert np.allclose([s for _, s in got[w]], [s for s, _ in want])
+    assert T.nearest(df, df.limit(0), 3, "word", "vector").count() == 0
