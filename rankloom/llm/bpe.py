@@ -224,9 +224,10 @@ def decode(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") ->
 
 
 def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
-               with_ids: bool = False) -> DataFrame:
+               with_ids: bool = False, release: bool = False) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256[, ids]): digests of the ids and of what they
-    decode to, in one pass."""
+    decode to, in one pass.  ``release`` gives a worker's table of pre-tokens back when a task
+    ends, for jobs of several steps."""
     raw = docs.sparkSession.sparkContext.broadcast(read(path))
 
     def sha(data: bytes) -> str:
@@ -245,6 +246,8 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                     out["ids"] = pa.array([x.astype(np.int32) for x in ids],
                                           pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+        if release:
+            codec.cache_clear()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(

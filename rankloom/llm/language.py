@@ -24,6 +24,7 @@ import math
 import re
 from array import array
 from collections import Counter
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,10 +107,38 @@ def gram_counts(words: DataFrame) -> DataFrame:
             .groupBy("size", "feature", "lang").agg(F.sum("n").alias("n")))
 
 
+class Table(Mapping):
+    """Features with a number per language: places in one array, not tuples of objects."""
+
+    def __init__(self, width: int):
+        self.width, self.place, self.values = width, {}, array("d")
+
+    def add(self, feature: str, values) -> None:
+        self.place[feature] = len(self.values)
+        self.values.extend(values)
+
+    def get(self, feature, default=None):
+        at = self.place.get(feature)
+        return default if at is None else tuple(self.values[at:at + self.width])
+
+    def __getitem__(self, feature):
+        at = self.place[feature]
+        return tuple(self.values[at:at + self.width])
+
+    def __contains__(self, feature):
+        return feature in self.place
+
+    def __iter__(self):
+        return iter(self.place)
+
+    def __len__(self):
+        return len(self.place)
+
+
 @dataclass
 class Model:
     langs: list[str]
-    tables: dict[int, dict[str, tuple[float, ...]]]     # by n-gram length; 0: words
+    tables: dict[int, Table]     # by n-gram length; 0: words
     unseen: int = 0
 
 
@@ -169,13 +198,13 @@ def learn(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
         (r["size"], r["lang"]): r["n"]
         for r in counts.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     most = {0: MAX_WORDS} | dict.fromkeys(LENGTHS, MAX_GRAMS)
-    tables: dict[int, dict[str, tuple[float, ...]]] = {s: {} for s in most}
+    tables = {s: Table(len(langs)) for s in most}
     # at most MAX_WORDS + len(LENGTHS) * MAX_GRAMS rows a language
     for r in stash(_frequent(counts, most), "language-features").toLocalIterator():
         logs = [math.log((r["by"].get(x, 0) + 0.5) / (sums.get((r["size"], x), 0) + 1.0))
                 for x in langs]
         mean = sum(logs) / len(logs)
-        tables[r["size"]][r["feature"]] = tuple(v - mean for v in logs)
+        tables[r["size"]].add(r["feature"], [v - mean for v in logs])
     return Model(langs, tables)
 
 
