@@ -372,6 +372,10 @@ SELECT query, id, similarity, CAST(rank AS INT) AS rank FROM (
         FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id % 100 = 0) q
         JOIN (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS vv FROM embeddings) v ON q.vec_id <> v.vec_id))
 WHERE rank <= 10""")
+ORACLE["cooccurrences"] = sql("""SELECT least(p[1], p[2]) AS first, greatest(p[1], p[2]) AS second, count(*) AS n
+FROM (SELECT unnest(list_transform(range(1, len(tk) - gap + 1), lambda i: [tk[i], tk[i + gap]])) AS p
+      FROM ptok, (SELECT unnest([1, 2]) AS gap))
+WHERE p[1] <> p[2] GROUP BY ALL HAVING count(*) >= 50""")
 ORACLE["als_hot_items"] = sql("SELECT DISTINCT itemId, true AS solved FROM ratings")
 
 # Fitted models: what the data determine of them.

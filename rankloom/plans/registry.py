@@ -16,6 +16,7 @@ from rankloom.functions.vectors import cosine, dot, l2_norm
 from rankloom.operators import als as A
 from rankloom.operators import als_salted as SA
 from rankloom.operators import clean as CL
+from rankloom.operators.cooccur import pair_counts
 from rankloom.operators import docs as D
 from rankloom.operators import embed as EM
 from rankloom.operators import features as FE
@@ -114,6 +115,13 @@ def part_tokens(fx):
                        F.array_join("tokens", " ").alias("tokensText"))
 
 
+@query
+def cooccurrences(fx):
+    """Word pairs at most two places apart in a review's tokens, at least 50 times."""
+    toks = EM.part_tokens(D.item_text_parts(fx.clean))
+    return pair_counts(toks, window=2, min_pairs=50)
+
+
 @query
 def embeddable_items(fx):
     toks = EM.part_tokens(D.item_text_parts(fx.clean))
