@@ -43,15 +43,19 @@ def item_rating_stats(ratings: DataFrame) -> DataFrame:
 
 
 def active_ratings(ratings: DataFrame, min_ratings: int = ALS_MIN_RATINGS,
-                   extra: list[str] | None = None) -> DataFrame:
+                   extra: list[str] | None = None, colocated: bool = False) -> DataFrame:
     """Ratings of users with at least ``min_ratings`` complete ratings.
 
     Rows with a null or NaN field are dropped first.  The user filter is a
     semi join against the aggregated counts that AQE can split (``skew``), so a hot
-    user's rows do not meet in one task; there is no window over users.
+    user's rows do not meet in one task; there is no window over users.  ``colocated`` says
+    that ``ratings`` is a table in buckets of ``userId`` (``sources.bucketed``): count and join
+    then read it as it lies, without a shuffle and without splits.
     """
     base = ratings.select(F.col("userId").cast("int"), F.col("itemId").cast("int"),
                           F.col("rating").cast("float"), *(extra or [])).na.drop()
     keep = (user_activity(base).filter(F.col("userRatingCount") >= min_ratings)
             .select("userId"))
+    if colocated:
+        return base.join(keep, "userId", "left_semi")
     return semi_join(base, keep, "userId")

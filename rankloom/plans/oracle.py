@@ -351,6 +351,7 @@ LEFT JOIN act a ON a.userId = q.userId"""),
     SELECT DISTINCT r.userId, a.userRatingCount, {SEGMENT.format('a.userRatingCount')} AS segment
     FROM recs r JOIN act a USING (userId)) u) t WHERE rn <= 5"""),
 }
+ORACLE["active_ratings_bucketed"] = ORACLE["active_ratings"]
 ORACLE["lookup_stream"] = ORACLE["lookup_served"] = ORACLE["lookup_recs"]
 
 # Exact areas: rank sums with ties counted half, and straight lines between the points (recall,

@@ -29,7 +29,7 @@ from rankloom.operators.metrics import ranking_metrics
 from rankloom.operators.topk import nearest
 from rankloom.plans.fixture import DIGITS, Fixture, rounded
 from rankloom.session import scratch_path
-from rankloom.sources import read_reviews, read_serving, read_table, write_serving, write_table
+from rankloom.sources import read_reviews, read_serving, read_table, write_bucketed, write_serving, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,6 +171,14 @@ def item_tokens_nostop(fx):
                        F.array_join("tokens", " ").alias("tokensText"))
 
 
+@query
+def active_ratings_bucketed(fx):
+    """``active_ratings`` from ratings written in buckets of the user: no shuffle to read them."""
+    name = f"ratings_{uuid.uuid4().hex}"
+    table = write_bucketed(fx.ratings, name, scratch_path(fx.spark, name), "userId", 8)
+    return R.active_ratings(table, colocated=True)
+
+
 @query
 def user_activity(fx):
     return fx.activity
