@@ -26,6 +26,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from rankloom.llm.common import LOWER, UPPER
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "iban", "account", "secret")
 
@@ -47,7 +49,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 USER_INFO = re.compile(r"[^\s/@:]+:[^\s/@]+@[A-Za-z0-9.-]+(?::[0-9]+)?(?:/\S*)?")
 IBAN = re.compile(r"[\s:#=]{0,8}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,9})")
 ACCOUNT = re.compile(r"(?:[\s_-]{0,3}(?:number|no\.?|nr\.?|num|id|#))?[\s]{0,3}[:=#][\s]{0,3}"
-                     r"([A-Za-z0-9][A-Za-z0-9-]{4,33})")
+                     r"([A-Za-z0-9][A-Za-z0-9-]{4,}+)")
 SECRET = re.compile(r"[\"']?[\s]{0,3}[:=][\s]{0,3}[\"']?([^\s\"',;]{6,})")
 
 
@@ -56,8 +58,7 @@ def anchors() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
 
     def cue(word: str, what: str) -> None:
-        for w in {word, word.upper(), word.capitalize(), word.title()}:
-            a.add_word(w, (what, len(w)))
+        a.add_word(word, (what, len(word)))
 
     cue(IBAN_CUE, "iban")
     for kind, words in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES), ("url", SCHEMES)):
@@ -115,6 +116,7 @@ def _digits(text: str):
             yield "phone", m.start(), m.end()
 
 
+TO_LOWER = str.maketrans(UPPER, LOWER)      # cues count in any case; offsets stay
 HAS_DIGIT = re.compile("[0-9]")
 
 
@@ -122,7 +124,7 @@ def find(text: str) -> list[tuple[int, int, str, int]]:
     """(start, index of kind, kind, end) of every span, in order."""
     found: list[tuple[str, int, int]] = []
     floor = dict.fromkeys(("email", "url", "iban", "account", "secret"), 0)
-    for last, (what, size) in anchors().iter(text):
+    for last, (what, size) in anchors().iter(text.translate(TO_LOWER)):
         span, at = None, last - size + 1
         if what == "email":
             span = _email(text, at, floor["email"])

@@ -73,3 +73,10 @@ def test_long_secrets_and_ibans_before_capitals():
     got = [(k, t[s:e]) for s, _, k, e in P.find(t)]
     assert ("secret", token) in got and ("iban", "DE89370400440532013000") in got
     assert ("iban", "DE89 3704 0044 0532 0130 00") in got
+
+
+def test_long_accounts_and_cues_in_any_case():
+    number = "A1" * 22
+    t = f"account number: {number}, PassWord: hunter2hunter, \u0130 aCCt no: 12345678"
+    got = [(k, t[s:e]) for s, _, k, e in P.find(t)]
+    assert got == [("account", number), ("secret", "hunter2hunter"), ("account", "12345678")]
