@@ -47,3 +47,23 @@ def test_texts_are_shuffled_once(spark):
     clean = spark.createDataFrame([("a", 1, "u", 5.0, "some longer text", None)], SCHEMA)
     p = D.item_document_chunks(clean)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in p
+
+
+def test_documents_take_one_shuffle_and_no_aggregate(spark):
+    """Texts are in no aggregate's buffer; order, blanks, nulls and short items as documented."""
+    clean = spark.createDataFrame(
+        [("a", 2, "u", 4.0, "second", None), ("a", 1, "v", None, "first ", None), ("a", None, "w", 2.0, "", None),
+         ("b", 1, "u", 5.0, "short", None), (None, 1, "u", None, "no item at all", None),
+         ("c", 1, "u", 5.0, None, None), ("c", 1, "u", 1.0, None, "a summary alone")], SCHEMA)
+    docs = D.item_documents(clean)
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("RepartitionByExpression") == 1
+    assert sorted(map(tuple, docs.collect()), key=str) == [
+        ("a", " first  second", 3, 3.0), ("c", "a summary alone", 1, 1.0),
+        (None, "no item at all", 1, None)]
+
+
+def test_chunks_joined_tell_a_gap(spark):
+    rows = [("a", 0, "xy"), ("a", 2, "z"), ("b", 5, "q"), ("b", 0, "1234"), ("c", 0, "one")]
+    got = D.joined_chunks(spark.createDataFrame(rows, "asin string, at long, text string")).collect()
+    assert sorted(map(tuple, got)) == [("a", "xyz", True, 2), ("b", "1234q", False, 4), ("c", "one", True, 3)]
