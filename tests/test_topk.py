@@ -141,3 +141,33 @@ def test_nearest_equals_sorting_cosines(spark, max_bytes):
         assert [y for y, _ in got[w]] == [y for _, y in want]
         assert np.allclose([s for _, s in got[w]], [s for s, _ in want])
     assert T.nearest(df, df.limit(0), 3, "word", "vector").count() == 0
+
+
+def test_few_query_partitions_are_spread(spark):
+    """Queries that lie in one partition are scored by as many tasks as there are partitions."""
+    r = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in r.normal(size=4)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, vector array<double>").coalesce(1)
+    top = T.topk_by_norm(df, df, 3)
+    assert top.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    m = np.array([v for _, v in rows])
+    want = -np.sort(-(m @ m.T), axis=1)[:, :3]
+    got = {}
+    for x in top.collect():
+        got.setdefault(x["userId"], []).append((x["rank"], x["score"]))
+    assert np.allclose([[s for _, s in sorted(got[i])] for i in range(400)], want)
+
+
+def test_wide_blocks_with_ties_and_bias():
+    """Past the first blocks, which are narrow: as brute force, tied scores and bias included."""
+    r = np.random.default_rng(5)
+    n, k = T.BLOCK * (T.WARM + 2 * T.WIDE), 6
+    t = T.Targets(np.arange(n), r.normal(size=(n, 2)), r.integers(0, 3, n).astype(float), {})
+    q = r.normal(size=(40, 2))
+    for ties in (False, True):
+        best, _ = T.best_of(q, t, k, 1.0, ties, 1)
+        score = np.round(q @ t.vectors.T + t.bias, 1)
+        for i in range(40):
+            order = np.lexsort((t.ids, -score[i]))
+            want = order[score[i][order] >= score[i][order[k - 1]]] if ties else order[:k]
+            assert best.id[best.row == i].tolist() == t.ids[want].tolist()
