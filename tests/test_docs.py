@@ -67,3 +67,38 @@ def test_chunks_joined_tell_a_gap(spark):
     rows = [("a", 0, "xy"), ("a", 2, "z"), ("b", 5, "q"), ("b", 0, "1234"), ("c", 0, "one")]
     got = D.joined_chunks(spark.createDataFrame(rows, "asin string, at long, text string")).collect()
     assert sorted(map(tuple, got)) == [("a", "xyz", True, 2), ("b", "1234q", False, 4), ("c", "one", True, 3)]
+
+
+def test_words_in_arrow_are_those_of_the_jvm(spark, monkeypatch):
+    """Tokens, counts and trailing empties as native split and StopWordsRemover give them; a text
+    longer than a share is cut alone."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(D, "_CUT_BYTES", 40)
+    r = random.Random(5)
+    words = ["the", "The", "it's", "battery", "é", "ÉTÉ", "themselves", "x" * 30, "İI", " ", " ", "", "t"]
+    texts = ["", " ", "  ", "the", "the ", " the", "\t\n\x0b\f\r", "a b", None, "end\r\n", "x" * 500]
+    texts += ["".join(r.choice(words) + r.choice(" \t\n\r\x0b\f") * r.choice([0, 1, 1, 2])
+                      for _ in range(r.randrange(40))) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    got = {x["id"]: x for x in rows.select(
+        "id", D.kept_words(F.lower("text")).alias("w"), D.word_counts(F.lower("text")).alias("n"),
+        D.joined_words(F.lower("text")).alias("j")).collect()}
+    raw = D.split_tokens("text", keep_trailing=True).alias("raw")
+    known = rows.filter("text is not null").select("id", raw)
+    for x in D.stop_words_remover("raw", "w").transform(known).collect():
+        ends = len(x["raw"]) - max([i + 1 for i, w in enumerate(x["raw"]) if w], default=0)
+        assert got[x["id"]]["w"] == x["w"] and got[x["id"]]["j"] == " ".join(x["w"])
+        assert tuple(got[x["id"]]["n"]) == (len(x["w"]), ends)
+    assert got[8]["w"] is None and got[8]["j"] is None and tuple(got[8]["n"]) == (None, None)
+
+
+def test_counting_makes_no_tokens(spark):
+    """Item figures and the rows of embeddable parts read counts: tokens are not made for them."""
+    from rankloom.operators import embed as EM
+    parts = spark.createDataFrame([("a", 1, "u", 5.0, "some text")], "asin string, unixReviewTime long, "
+                                  "reviewerID string, overall double, text string")
+    toks = EM.part_tokens(parts)
+    stats = EM.item_token_stats(toks)
+    for df in (stats, EM.embeddable_parts(toks, EM.embeddable_items(stats)).select("asin", "nTokens")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "counts(" in plan and "words(" not in plan and "split(" not in plan
