@@ -127,3 +127,25 @@ def test_enriched_recommendations_of_heavy_items(spark, monkeypatch):
     by_id = {r.itemId: r for r in RP.enrich_recs(recs, index, meta).collect()}
     assert (by_id[151].asin, by_id[151].reviewCount) == ("UNKNOWN_151", 9)
     assert (by_id[153].asin, by_id[153].reviewCount, by_id[3].asin) == ("UNKNOWN_153", 0, "A3")
+
+
+def test_recs_and_item_numbers_are_computed_once_more_at_most(spark):
+    """The count of heavy keys is one pass over the rows; item numbers are aggregated once."""
+    from pyspark.sql import functions as F
+    from rankloom.operators.report import item_facts
+    from rankloom.operators.skew import heavy_keys
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(4000).select((F.col("id") % 3).alias("itemId")).mapInArrow(counted, "itemId long")
+    assert sorted(heavy_keys(rows, "itemId", least=100)) == [0, 1, 2] and seen.value == 4000
+    meta = spark.createDataFrame([("I1", 4.0, 2), ("UNKNOWN_7", 3.0, 1)], "asin string, avgRating double, "
+                                 "reviewCount long").mapInArrow(counted, "asin string, avgRating double, reviewCount long")
+    index = spark.createDataFrame([("I1", 1), ("I2", 2)], "asin string, itemIndex long")
+    facts = item_facts(index, meta).collect()
+    assert seen.value == 4002
+    assert {tuple(r) for r in facts} == {(1, "I1", 4.0, 2), (2, "I2", None, None), (7, "UNKNOWN_7", 3.0, 1)}
