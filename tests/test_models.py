@@ -178,3 +178,14 @@ def test_models_are_reused_by_fingerprint(spark):
     assert len(fits) == 1
     fit_or_load(path, fit, ALSModel, mode="retrain")
     assert len(fits) == 2
+
+
+def test_ranker_users_are_all_warm_users(spark):
+    """None of more than 200,000 warm users is left out of candidates and training."""
+    from rankloom.plans.models import Fitted
+    fitted = object.__new__(Fitted)
+    counts = F.when(F.col("id") % 100 == 0, 5).otherwise(6).cast("long").alias("userRatingCount")
+    fitted.activity = spark.range(210_000).select(F.col("id").cast("int").alias("userId"), counts)
+    row = fitted.ranker_users.agg(F.count("userId").alias("n"), F.countDistinct("userId").alias("users"),
+                                  F.count_if(F.col("userId") % 100 == 0).alias("cold")).first()
+    assert (row.n, row.users, row.cold) == (207_900, 207_900, 0)
