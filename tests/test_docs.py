@@ -102,3 +102,59 @@ def test_counting_makes_no_tokens(spark):
     for df in (stats, EM.embeddable_parts(toks, EM.embeddable_items(stats)).select("asin", "nTokens")):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "counts(" in plan and "words(" not in plan and "split(" not in plan
+
+
+def test_texts_are_shuffled_compressed(spark):
+    """Documents, their tokens, and chunks of items that are not hot: no exchange has a text, only packed rows."""
+    clean = spark.createDataFrame([(f"i{i}", 1, "u", 5.0, "some longer text", None) for i in range(90)], SCHEMA)
+    chunks = D.item_document_chunks(clean, chunk_chars=11)
+    for df in (D.item_documents(clean), D.item_tokens(D.item_documents(clean)), chunks, D.joined_chunks(chunks)):
+        plan = df._jdf.queryExecution().optimizedPlan()
+        found = [line for line in plan.toString().splitlines() if "RepartitionByExpression" in line]
+        assert found and all("group#" in line for line in found)
+        node, outputs = [plan], []
+        while node:
+            x = node.pop()
+            if x.nodeName() == "RepartitionByExpression":
+                outputs.append(x.output().mkString(","))
+            node += [x.children().apply(i) for i in range(x.children().size())]
+        assert outputs and all("rows#" in o and "text#" not in o for o in outputs)
+
+
+def test_packed_rows_come_back(monkeypatch):
+    """Every row of every group once, whatever the packs' sizes; equal rows stay two."""
+    import pyarrow as pa
+    r = random.Random(3)
+    rows = [(r.randrange(7), r.choice([None, "a", "b"]), r.choice([None, "", "é" * r.randrange(90)])) for _ in range(500)]
+    rows += rows[:9]
+    schema = pa.schema([("_group", pa.int32()), ("asin", pa.string()), ("text", pa.string())])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + 40]), schema)], schema=schema)
+               for i in range(0, len(rows), 40)]
+    for size in (1, 3000, 1 << 20):
+        monkeypatch.setattr(D, "_PACK_BYTES", size)
+        packed = [x for b in D._pack(iter([*batches, batches[0].slice(0, 0)])) for x in b.to_pylist()]
+        packed.sort(key=lambda x: x["group"])
+        tables = list(D._grouped(iter(pa.RecordBatch.from_pylist(packed[i:i + 3], D._PACKED)
+                                      for i in range(0, len(packed), 3))))
+        assert len(tables) == 7
+        got = [(g, x["asin"], x["text"]) for g, t in enumerate(tables) for x in t.to_pylist()]
+        assert sorted(got, key=str) == sorted(rows, key=str)
+    assert list(D._pack(iter([]))) == list(D._grouped(iter([]))) == []
+
+
+def test_documents_of_odd_rows(spark):
+    """Order with nulls, ties told by the text's md5, and equal rows, as a plain sort gives them."""
+    from hashlib import md5
+    r = random.Random(11)
+    rows = [(r.choice(["a", "b", "c", None]), r.choice([None, 1, 2]), r.choice([None, "u", "v"]), r.choice([None, 1.0, 4.5]),
+             r.choice([None, "", "x y", "é", "long text " * 3]), r.choice([None, "sum"])) for _ in range(300)]
+    rows += rows[:40]
+    clean = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want = []
+    for asin in ["a", "b", "c", None]:
+        mine = [(t, u, x if x is not None else s, o) for a, t, u, o, x, s in rows if a == asin and (x, s) != (None, None)]
+        mine.sort(key=lambda m: ((m[0] is not None, m[0] or 0), (m[1] is not None, m[1] or ""), md5(m[2].encode()).hexdigest()))
+        rated = [m[3] for m in mine if m[3] is not None]
+        want.append((asin, " ".join(m[2] for m in mine), len(mine), sum(rated) / len(rated)))
+    got = [(x[0], x[1], x[2], pytest.approx(x[3])) for x in D.item_documents(clean).collect()]
+    assert sorted(got, key=lambda x: str(x[0])) == sorted(want, key=lambda x: str(x[0]))
