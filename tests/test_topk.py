@@ -171,3 +171,31 @@ def test_wide_blocks_with_ties_and_bias():
             order = np.lexsort((t.ids, -score[i]))
             want = order[score[i][order] >= score[i][order[k - 1]]] if ties else order[:k]
             assert best.id[best.row == i].tolist() == t.ids[want].tolist()
+
+
+def test_products_scored_in_single_precision_first_are_exact(monkeypatch):
+    """Near ties below single precision, equal vectors, zero and tiny ones: the same best targets, in the same
+    order, as all products in double; products too large for single precision are not scored in it."""
+    random = np.random.default_rng(8)
+    vectors = random.normal(size=(3000, 6))
+    vectors[1000:2000] = vectors[:1000] * (1 + random.uniform(-1e-9, 1e-9, (1000, 1)))
+    vectors[2000:2500] = vectors[:500]
+    vectors[2990:] = 0
+    queries = np.concatenate([random.normal(size=(300, 6)), np.zeros((2, 6)), random.normal(size=(3, 6)) * 1e-36])
+    used = []
+    inner = T._best_products
+    monkeypatch.setattr(T, "_best_products", lambda *a: (used.append(1), inner(*a))[1])
+    for scale, singles in ((1.0, 1), (1e-30, 1), (1e20, 0)):
+        targets = T.Targets(random.permutation(3000).astype(np.int64), vectors * scale, np.zeros(3000), {})
+        for k in (1, 7, 400):
+            used.clear()
+            best, scored = T.best_of(queries, targets, k)
+            assert len(used) == singles and (scored <= 3000).all()
+            exact = np.einsum("qd,td->qt", queries, targets.vectors)
+            for row in range(0, len(queries), 7):
+                # each product added up in the same order as the kernel does
+                own = np.einsum("ij,ij->i", np.broadcast_to(queries[row], targets.vectors.shape), targets.vectors)
+                assert np.allclose(own, exact[row], rtol=1e-9, atol=abs(own).max() * 1e-12)
+                want = targets.ids[np.lexsort((targets.ids, -own))[:k]] if singles else None
+                mine = best.id[best.row == row]
+                assert len(mine) == k and (want is None or mine.tolist() == want.tolist())
